@@ -74,8 +74,9 @@ def consolidate(spark: SparkSession, landing: str, master: str, *,
     """
     landed = spark.read.parquet(landing)
     if include_existing and storage.path_exists(spark, master):
-        known = spark.read.parquet(master).join(
-            F.broadcast(landed.select("year").distinct()), "year", "left_semi")
+        # At most one row per calendar year: small whatever the data, and it prunes the scan.
+        years = F.broadcast(landed.select("year").distinct())
+        known = spark.read.parquet(master).join(years, "year", "left_semi")
         known = known.withColumns({"batch_id": F.lit(""), "position": F.lit(0).cast("bigint")})
         landed = landed.unionByName(known, allowMissingColumns=True)
     result = stage(compact(landed, series=series, date=date).drop("batch_id", "position"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,13 +45,14 @@ def _contract() -> Column:
     return ok
 
 
-def valid_records(raw: DataFrame, start: str = k.START_DATE) -> DataFrame:
-    """Typed records that meet the contract, from ``start`` on."""
+def valid_records(raw: DataFrame, start: str = k.START_DATE,
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """Typed records that meet the contract, from ``start`` on; ``keep`` passes columns through."""
     typed = raw.filter(_contract()).select(*[
         parse_date(F.col(c)).alias(c) if c == "fecha"
         else no_nan(locale_number(F.col(c))).alias(c) if c in k.NUMBER_FIELDS
         else F.col(c)
-        for c in k.RECORD_FIELDS])
+        for c in (*k.RECORD_FIELDS, *keep)])
     return typed.filter(F.col("fecha") >= F.lit(start).cast("date"))
 
 
