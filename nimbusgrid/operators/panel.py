@@ -123,24 +123,27 @@ def interpolate(df: DataFrame, cols: Sequence[str], limit: int = k.INTERPOLATION
     """
     cols = list(cols)
     ahead = Window.partitionBy(series).orderBy(date)
-    back = Window.partitionBy(series).orderBy(F.desc(date)).rowsBetween(*_RUNNING)
-
-    def known(c: str) -> Column:
-        return F.when(F.col(c).isNotNull(), F.struct(F.col("_i").alias("i"), F.col(c).alias("v")))
+    before = ahead.rowsBetween(*_RUNNING)
+    after = Window.partitionBy(series).orderBy(F.desc(date)).rowsBetween(*_RUNNING)
 
     placed = df.select("*", F.row_number().over(ahead).alias("_i"))
-    placed = placed.select("*", *[
-        F.last(known(c), True).over(ahead.rowsBetween(*_RUNNING)).alias(f"_p_{c}") for c in cols])
-    placed = placed.select("*", *[
-        F.last(known(c), True).over(back).alias(f"_n_{c}") for c in cols])
+    # Position and value as two primitive windows: a struct of both is an order slower.
+    for side, frame in (("p", before), ("n", after)):
+        placed = placed.select(
+            "*",
+            *[F.expr(f"CASE WHEN `{c}` IS NOT NULL THEN _i END").alias(f"_k_{c}") for c in cols],
+        ).select(
+            *placed.columns,
+            *[F.last(f"_k_{c}", True).over(frame).alias(f"_{side}i_{c}") for c in cols],
+            *[F.last(c, True).over(frame).alias(f"_{side}v_{c}") for c in cols])
 
     def filled(c: str) -> Column:
-        p, n, steps = F.col(f"_p_{c}"), F.col(f"_n_{c}"), F.col("_i") - F.col(f"_p_{c}.i")
-        line = (n.v - p.v) / (n.i - p.i) * steps + p.v
-        return (
-            F.when(F.col(c).isNotNull(), F.col(c))
-            .when(steps <= limit, F.when(n.isNull(), p.v).otherwise(line))
-        )
+        return F.expr(f"""
+            CASE WHEN `{c}` IS NOT NULL THEN `{c}`
+                 WHEN _i - `_pi_{c}` <= {int(limit)} THEN
+                   CASE WHEN `_ni_{c}` IS NULL THEN `_pv_{c}`
+                        ELSE (`_nv_{c}` - `_pv_{c}`) / (`_ni_{c}` - `_pi_{c}`)
+                             * (_i - `_pi_{c}`) + `_pv_{c}` END END""")
 
     return placed.select(*[filled(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 

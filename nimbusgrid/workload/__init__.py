@@ -1,6 +1,6 @@
 """Queries over the given tables, one per operator or plan, with their SQL checks."""
 
-from nimbusgrid.workload import panels  # noqa: F401
+from nimbusgrid.workload import formulas, panels, timeseries  # noqa: F401
 from nimbusgrid.workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
