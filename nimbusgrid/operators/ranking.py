@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nimbusgrid.session import stage
+
 BUCKETS = 256
 
 
@@ -40,18 +42,20 @@ def running_totals(df: DataFrame, value: str, totals: Sequence[str], *, by: Sequ
     ``following`` also ``{t}_next``, the total of the next row in order.
 
     ``df`` holds one row per (by, value).  With ``by`` each group is ordered on its own; groups
-    are expected to be few (targets, classes), their buckets carry the parallelism.
+    are expected to be few (targets, classes), their buckets carry the parallelism.  The counts
+    are staged, so whatever they were computed from (model scores, say) runs once, not once for
+    the borders, once for the bucket totals and once for the rows.
     """
     by, totals = list(by), list(totals)
-    marks = [i / buckets for i in range(1, buckets)]
-    borders = F.percentile_approx(value, marks, F.lit(100 * buckets))
+    df = stage(df, "ranked")
+    marks = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    borders = F.expr(f"percentile_approx(`{value}`, array({marks}), {100 * buckets})")
     if by:
         split = df.join(df.groupBy(*by).agg(borders.alias("_borders")), by)
-        split = split.withColumn(
-            "_bucket", _bucket_of(F.col(value), F.col("_borders"), buckets)).drop("_borders")
     else:
-        split = df.withColumn(
-            "_bucket", _bucket_of(F.col(value), df.agg(borders).scalar(), buckets))
+        split = df.withColumn("_borders", df.agg(borders).scalar())
+    split = split.withColumn(
+        "_bucket", _bucket_of(F.col(value), F.col("_borders"), buckets)).drop("_borders")
 
     order = F.desc if descending else F.asc
     group = [F.col(c) for c in by] or [F.lit(0)]
@@ -68,7 +72,8 @@ def running_totals(df: DataFrame, value: str, totals: Sequence[str], *, by: Sequ
 
     inside = Window.partitionBy(*by, "_bucket").orderBy(order(value))
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    placed = split.join(offsets if by else F.broadcast(offsets), [*by, "_bucket"])
+    # A left join: an inner one would filter on the bucket, and recompute it, below the scan.
+    placed = split.join(offsets if by else F.broadcast(offsets), [*by, "_bucket"], "left")
     return placed.select(
         *df.columns,
         *[(F.col(f"_{t}_offset") + F.coalesce(F.sum(t).over(earlier), F.lit(0)))

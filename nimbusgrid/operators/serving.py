@@ -16,20 +16,21 @@ from nimbusgrid.operators.panel import keep_first
 
 def point_lookup(df: DataFrame, key, day, *, series: str = SERIES, date: str = DATE) -> DataFrame:
     """The row of one series on one day; both predicates reach the scan."""
-    return df.filter((F.col(series) == key) & (F.col(date) == F.lit(day).cast("date"))).limit(1)
+    at = day if isinstance(day, Column) else F.lit(day).cast("date")
+    return df.filter((F.col(series) == key) & (F.col(date) == at)).limit(1)
 
 
 def distinct_values(df: DataFrame, c: str, descending: bool = False) -> DataFrame:
     return df.select(c).distinct().orderBy(F.desc(c) if descending else F.asc(c))
 
 
-def next_days(df: DataFrame, day, n: int = 7, *, series: str = SERIES,
-              date: str = DATE) -> DataFrame:
-    """The next ``n`` rows from ``day`` on, for every series.
+def next_days(df: DataFrame, day, n: int = 7, *, then: Sequence[str] = (),
+              series: str = SERIES, date: str = DATE) -> DataFrame:
+    """The next ``n`` rows from ``day`` on, for every series; ``then`` orders rows of one day.
 
     The rank filter becomes a group limit: each task passes on at most ``n`` rows per series.
     """
-    rank = F.row_number().over(Window.partitionBy(series).orderBy(date))
+    rank = F.row_number().over(Window.partitionBy(series).orderBy(date, *then))
     ahead = df.filter(F.col(date) >= F.lit(day).cast("date"))
     return ahead.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
 

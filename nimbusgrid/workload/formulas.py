@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nimbusgrid import constants as k
 from nimbusgrid.functions import bands, indices, physics, scalars
 from nimbusgrid.sources import records, subscriptions
+from nimbusgrid.sources.landing import station_folder
 from nimbusgrid.workload import frames as fr
 from nimbusgrid.workload.frames import r6, s6
 from nimbusgrid.workload.registry import query
@@ -44,8 +46,6 @@ def locale_numbers(spark: SparkSession, sf: str) -> DataFrame:
   regexp_replace(p_name, '[^\\p{L}\\p{N}_\\s-]', '', 'g'), '\\s+', '_', 'g') AS folder
 FROM part""")
 def sanitized_names(spark: SparkSession, sf: str) -> DataFrame:
-    from nimbusgrid.sources.landing import station_folder
-
     name = F.concat(F.col("p_name"), F.lit(", Sant ("), F.col("p_brand"), F.lit(")"))
     return fr.table(spark, sf, "part").select(
         "p_partkey", scalars.sanitize_name(name).alias("clean"),
@@ -195,7 +195,7 @@ def raw_records(spark: SparkSession, sf: str) -> DataFrame:
         "dir": F.when(key % 4 == 0, "99")}
     return fr.table(spark, sf, "orders").select(*[
         fields.get(name, F.lit(None).cast("string")).alias(name)
-        for name in records.k.RECORD_FIELDS])
+        for name in k.RECORD_FIELDS])
 
 
 RAW_RECORDS = """raw AS (
