@@ -172,7 +172,7 @@ def recursive_forecast(history: DataFrame, models: Mapping[str, PipelineModel],
     latest = F.element_at("_rows", -1)
     state = packed.select(
         series, latest[date].alias("_last"),
-        *[F.transform("_rows", lambda r, c=c: r[c].cast("double")).alias(c) for c in measures],
+        *[F.col(f"_rows.{c}").cast("array<double>").alias(c) for c in measures],
         *[latest[c].cast("double").alias(c) for c in flags],
         *[latest[c].alias(c) for c in statics])
     tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

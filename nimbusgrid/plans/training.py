@@ -22,7 +22,7 @@ from nimbusgrid.functions.indices import apparent_temperature, rainbow_score
 from nimbusgrid.functions.scalars import bounded
 from nimbusgrid.operators import features as ops
 from nimbusgrid.operators.metrics import fit_status, regression_metrics, roc_auc
-from nimbusgrid.session import shared_folder
+from nimbusgrid.session import shared_folder, stage
 from nimbusgrid.sources import storage
 
 SPECS = {"rain": ops.RAIN, "tmed": ops.TEMPERATURE, "tmin": ops.TEMPERATURE,
@@ -96,8 +96,12 @@ def fit_target(frame: DataFrame, target: str, names: Sequence[str], **options) -
     """Fit on train rows, stopping early on val rows; rows without a label are left out."""
     shared_folder(frame.sparkSession)  # boosting checkpoints its long lineage there
     label = f"label_{target}"
+    cores = frame.sparkSession.sparkContext.defaultParallelism
     rows = (frame.filter(F.col("split").isin("train", "val") & F.col(label).isNotNull())
             .select(*names, label, (F.col("split") == "val").alias("is_validation")))
+    if rows.rdd.getNumPartitions() < cores:
+        # Boosting reads its rows many times: use every core on a small frame too.
+        rows = rows.repartition(cores)
     assembler = VectorAssembler(inputCols=list(names), outputCol="features",
                                 handleInvalid="error")
     return Pipeline(stages=[assembler, booster(target, label, **options)]).fit(rows)
@@ -163,10 +167,13 @@ def feature_importance(spark: SparkSession, target: str, model: PipelineModel,
 def train(panel: DataFrame, targets: Sequence[str] = k.TARGETS, *, val_start=k.VAL_START_DATE,
           test_start=k.TEST_START_DATE, series: str = SERIES, date: str = DATE,
           **options) -> tuple[dict[str, PipelineModel], DataFrame]:
-    """Fit every target on one cached feature frame; returns the models and that frame."""
+    """Fit every target on one feature frame; returns the models and that frame.
+
+    The frame is staged: its windows run once for all fits, and each fit reads its own columns.
+    """
     keys = {"series": series, "date": date}
-    frame = storage.cached(training_frame(panel, targets, val_start=val_start,
-                                          test_start=test_start, **keys))
+    frame = stage(training_frame(panel, targets, val_start=val_start, test_start=test_start,
+                                 **keys), "features")
     models = {t: fit_target(frame, t, target_features(panel, t, **keys), **options)
               for t in targets}
     return models, frame
