@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -166,16 +168,21 @@ def feature_importance(spark: SparkSession, target: str, model: PipelineModel,
 
 def train(panel: DataFrame, targets: Sequence[str] = k.TARGETS, *, val_start=k.VAL_START_DATE,
           test_start=k.TEST_START_DATE, series: str = SERIES, date: str = DATE,
-          **options) -> tuple[dict[str, PipelineModel], DataFrame]:
+          parallel: int = 1, **options) -> tuple[dict[str, PipelineModel], DataFrame]:
     """Fit every target on one feature frame; returns the models and that frame.
 
     The frame is staged: its windows run once for all fits, and each fit reads its own columns.
+    ``parallel`` fits share the cluster; each keeps its own copy of the binned rows in memory, so
+    raise it only while those fit.
     """
     keys = {"series": series, "date": date}
     frame = stage(training_frame(panel, targets, val_start=val_start, test_start=test_start,
                                  **keys), "features")
-    models = {t: fit_target(frame, t, target_features(panel, t, **keys), **options)
-              for t in targets}
+    names = {t: target_features(panel, t, **keys) for t in targets}
+    fit = inheritable_thread_target(panel.sparkSession)(
+        lambda t: fit_target(frame, t, names[t], **options))
+    with ThreadPool(max(1, parallel)) as pool:
+        models = dict(zip(targets, pool.map(fit, targets)))
     return models, frame
 
 

@@ -19,8 +19,8 @@ def scan_record_files(spark: SparkSession, path: str) -> DataFrame:
     Partial batches (``part_*``), documents of another shape and unreadable files are skipped.
     A document holds one (station, year), so a whole file is a small row.
     """
-    files = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.json").text(path))
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True,
+                            pathGlobFilter="*.json")
     return (
         files.filter(~F.col("_metadata.file_name").startswith("part_"))
         .filter(F.col("value").rlike(r"^\s*\["))

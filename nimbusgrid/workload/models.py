@@ -30,7 +30,7 @@ def _store(spark: SparkSession, sf: str) -> tuple[str, DataFrame, DataFrame]:
     if key not in _STORES:
         panel = _labelled_panel(spark, sf)
         models, frame = training.train(panel, val_start=_VAL, test_start=_TEST,
-                                       max_iter=_ROUNDS)
+                                       max_iter=_ROUNDS, parallel=4)
         folder = staging_path(spark, "models")
         training.save_models(models, folder)
         _STORES[key] = folder, panel, frame
