@@ -12,7 +12,7 @@ from nimbusgrid import DATE, SERIES
 from nimbusgrid import constants as k
 from nimbusgrid.functions.bands import decision, rained
 from nimbusgrid.operators.joins import season_table
-from nimbusgrid.operators.ranking import BUCKETS, exact_quantiles, running_totals
+from nimbusgrid.operators.ranking import exact_quantiles, running_totals
 
 
 def _both(actual: str, predicted: str, value: Column) -> Column:
@@ -52,7 +52,7 @@ def regression_metrics(df: DataFrame, pairs: Mapping[str, tuple[str, str]], *,
 
 
 def degradation_table(df: DataFrame, targets: Sequence[str], *,
-                      buckets: int = BUCKETS) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """Per target: one-step MAE, exact median error and R², recursive MAE, and the growth in %.
 
     Columns are ``real_{t}``, ``{t}_onestep`` and ``{t}_recursive``; a target that lacks one is
@@ -127,7 +127,7 @@ def _score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ())
 
 
 def roc_auc(df: DataFrame, label: str, score: str, *, by: Sequence[str] = (),
-            buckets: int = BUCKETS) -> DataFrame:
+            buckets: int | None = None) -> DataFrame:
     """Area under the ROC curve, ties counted half; null when a class is absent."""
     ranked = running_totals(_score_counts(df, label, score, by), score, ["pos"], by=by,
                             descending=True, buckets=buckets)
@@ -137,7 +137,7 @@ def roc_auc(df: DataFrame, label: str, score: str, *, by: Sequence[str] = (),
 
 
 def roc_curve(df: DataFrame, label: str, score: str, *, drop_collinear: bool = True,
-              buckets: int = BUCKETS) -> DataFrame:
+              buckets: int | None = None) -> DataFrame:
     """Points (threshold, fpr, tpr) per distinct score, from the added (inf, 0, 0) on.
 
     ``drop_collinear`` leaves out points inside a straight stretch: those whose step into the
@@ -173,7 +173,7 @@ def probability_histogram(df: DataFrame, probability: str, millimetres: str,
 
 
 def probability_box(df: DataFrame, probability: str, millimetres: str, *,
-                    buckets: int = BUCKETS) -> DataFrame:
+                    buckets: int | None = None) -> DataFrame:
     """Exact quartiles of the predicted probability per observed condition."""
     condition = F.when(rained(F.col(millimetres)) == 1, "Rainy Day").otherwise("Dry Day")
     return exact_quantiles(

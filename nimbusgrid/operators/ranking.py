@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 
 from nimbusgrid.session import stage
 
-BUCKETS = 256
+
+def _bucket_count(df: DataFrame, asked: int | None) -> int:
+    """Buckets to cut into: as asked, else about twice the shuffle partitions, a power of two."""
+    if asked is not None:
+        return asked
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(8192, max(64, 1 << (2 * partitions - 1).bit_length()))
 
 
 def _steps(buckets: int) -> list[int]:
@@ -28,16 +34,15 @@ def _steps(buckets: int) -> list[int]:
     return steps
 
 
-def _bucket_of(value: Column, borders: Column, buckets: int) -> Column:
+def _bucket_of(value: Column, borders: Column, steps: list[int]) -> Column:
     """Number of borders below the value, by binary search over the sorted border array."""
-    halves = F.array(*[F.lit(s) for s in _steps(buckets)])
-    return F.aggregate(halves, F.lit(0), lambda low, step: F.when(
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda low, step: F.when(
         F.get(borders, low + step - 1) < value, low + step).otherwise(low))
 
 
 def running_totals(df: DataFrame, value: str, totals: Sequence[str], *, by: Sequence[str] = (),
                    descending: bool = False, following: bool = False,
-                   buckets: int = BUCKETS) -> DataFrame:
+                   buckets: int | None = None) -> DataFrame:
     """Add ``{t}_before`` (sum over all rows earlier in value order) and ``{t}_all``; with
     ``following`` also ``{t}_next``, the total of the next row in order.
 
@@ -47,6 +52,8 @@ def running_totals(df: DataFrame, value: str, totals: Sequence[str], *, by: Sequ
     the borders, once for the bucket totals and once for the rows.
     """
     by, totals = list(by), list(totals)
+    buckets = _bucket_count(df, buckets)
+    halves = _steps(buckets)
     df = stage(df, "ranked")
     marks = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
     borders = F.expr(f"percentile_approx(`{value}`, array({marks}), {100 * buckets})")
@@ -55,7 +62,7 @@ def running_totals(df: DataFrame, value: str, totals: Sequence[str], *, by: Sequ
     else:
         split = df.withColumn("_borders", df.agg(borders).scalar())
     split = split.withColumn(
-        "_bucket", _bucket_of(F.col(value), F.col("_borders"), buckets)).drop("_borders")
+        "_bucket", _bucket_of(F.col(value), F.col("_borders"), halves)).drop("_borders")
 
     order = F.desc if descending else F.asc
     group = [F.col(c) for c in by] or [F.lit(0)]
@@ -85,7 +92,7 @@ def running_totals(df: DataFrame, value: str, totals: Sequence[str], *, by: Sequ
 
 
 def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float], *,
-                    by: Sequence[str] = (), buckets: int = BUCKETS) -> DataFrame:
+                    by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles as columns, one row per group.
 
     Equal values are counted together before any shuffle of rows; null values are left out.

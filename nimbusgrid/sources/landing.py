@@ -41,7 +41,7 @@ def clamp_request(df: DataFrame, start: str = "start", end: str = "end",
 def gap_ledger(planned: DataFrame, landed: DataFrame,
                keys: Sequence[str] = (SERIES, "window_start")) -> DataFrame:
     """Planned windows for which nothing landed."""
-    return planned.join(landed.select(*keys), list(keys), "left_anti")
+    return planned.join(landed.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def as_batch(records: DataFrame, window_start: Column, window_end: Column,
@@ -81,7 +81,8 @@ def consolidate(spark: SparkSession, landing: str, master: str, *,
         landed = landed.unionByName(known, allowMissingColumns=True)
     result = stage(compact(landed, series=series, date=date).drop("batch_id", "position"),
                    "consolidate")
-    (result.repartition(F.col("year"), F.col(series)).sortWithinPartitions("year", series, date)
+    # By range: balanced whatever the years hold, and few files per year.
+    (result.repartitionByRange("year", series, date).sortWithinPartitions("year", series, date)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year").parquet(master))
     if remove_parts:

@@ -43,7 +43,7 @@ def compact_into(stream: DataFrame, master: str, checkpoint: str, *, keys: Seque
             known = spark.read.schema(batch.schema).parquet(master)
             rows = batch.unionByName(known.join(touched, partition_by, "left_semi"))
         newest = keep_first(rows, keys, [F.desc(c) for c in newest_first])
-        (stage(newest, "merge").repartition(partition_by, *keys)
+        (stage(newest, "merge").repartitionByRange(partition_by, *keys)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_by).parquet(master))
 

@@ -77,13 +77,13 @@ def region_days(spark: SparkSession, sf: str) -> DataFrame:
         F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("region"))
     rows = orders.join(customers, "c_custkey").join(nations, "c_nationkey")
     return rows.groupBy("region", "day").agg(
-        F.floor(F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / 1000)
-        .cast("double").alias("revenue"), F.count(F.lit(1)).alias("n"))
+        F.floor(F.sum(F.rint(F.col("o_totalprice") * 100)) / 100000).cast("double")
+        .alias("revenue"), F.count(F.lit(1)).alias("n"))
 
 
 REGION_DAYS = """region_days AS (
   SELECT r_name AS region, CAST(o_orderdate AS DATE) AS day,
-         floor(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / 1000) AS revenue,
+         floor(sum(round_even(o_totalprice * 100, 0)) / 100000) AS revenue,
          count(*) AS n
   FROM orders JOIN customer ON o_custkey = c_custkey
   JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
@@ -103,8 +103,12 @@ dense AS (SELECT region, day, revenue FROM grid LEFT JOIN region_days USING (reg
 
 
 def _mean(c: str):
-    """Mean from an exact decimal sum: the same double whatever the order of rows."""
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast("double") / F.count(F.lit(1))
+    """Mean from a sum of whole hundredths: the same double whatever the order of rows."""
+    return F.sum(F.rint(F.col(c) * 100)) / 100 / F.count(F.lit(1))
+
+
+def _mean_sql(c: str) -> str:
+    return f"sum(round_even({c} * 100, 0)) / 100 / count(*)"
 
 
 def station_days(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,7 +139,7 @@ def station_days(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("q") < 45, _eighths(F.col("d") * 1000)).alias("hrMedia"))
 
 
-STATION_DAYS = """station_days AS (
+STATION_DAYS = f"""station_days AS (
   SELECT fecha, n_name AS indicativo, n_name AS nombre, r_name AS provincia,
     CAST(n_nationkey * 10 AS VARCHAR) AS altitud, floor(q * 8) / 8 - 10 AS tmed,
     CASE WHEN d > 0.06 THEN floor(q) / 8 ELSE 0 END AS prec, q_low - 12 AS tmin, q_high - 5 AS tmax,
@@ -144,9 +148,9 @@ STATION_DAYS = """station_days AS (
     floor(t_high * 200 * 8) / 8 AS racha,
     CASE WHEN q < 45 THEN floor(d * 1000 * 8) / 8 END AS "hrMedia"
   FROM (SELECT s_nationkey AS n_nationkey, CAST(l_shipdate AS DATE) AS fecha,
-      CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS q,
-      CAST(sum(CAST(l_discount AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS d,
-      CAST(sum(CAST(l_tax AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS t,
+      {_mean_sql("l_quantity")} AS q,
+      {_mean_sql("l_discount")} AS d,
+      {_mean_sql("l_tax")} AS t,
       min(l_quantity) AS q_low, max(l_quantity) AS q_high, max(l_tax) AS t_high, count(*) AS n
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2)
   JOIN nation USING (n_nationkey) JOIN region ON n_regionkey = r_regionkey)"""
@@ -169,13 +173,13 @@ def sky_days(spark: SparkSession, sf: str) -> DataFrame:
         .alias("om_prec"))
 
 
-SKY_DAYS = """sky_days AS (
+SKY_DAYS = f"""sky_days AS (
   SELECT fecha, n_name AS indicativo, floor(p / 20000 * 8) / 8 AS sol,
     floor(p / 5000 * 8) / 8 + 990 AS presion,
     CAST(n * 23 % 101 AS DOUBLE) AS nubes,
     CASE WHEN n % 3 = 0 THEN floor(p / 100000 * 8) / 8 ELSE 0 END AS om_prec
   FROM (SELECT c_nationkey AS n_nationkey, CAST(o_orderdate AS DATE) AS fecha,
-      CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) AS p, count(*) AS n
+      {_mean_sql("o_totalprice")} AS p, count(*) AS n
     FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
   JOIN nation USING (n_nationkey))"""
 

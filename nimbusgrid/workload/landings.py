@@ -53,7 +53,7 @@ def gap_ledger(spark: SparkSession, sf: str) -> DataFrame:
     day = F.col("l_shipdate")
     opened = F.make_date(F.year(day), F.when(F.month(day) < 7, 1).otherwise(7), F.lit(1))
     landed = fr.table(spark, sf, "lineitem").filter("l_quantity > 48").select(
-        F.col("l_suppkey").alias("s_suppkey"), opened.alias("window_start")).distinct()
+        F.col("l_suppkey").alias("s_suppkey"), opened.alias("window_start"))
     return landing.gap_ledger(_planned(spark, sf), landed, ["s_suppkey", "window_start"])
 
 
@@ -85,7 +85,8 @@ def landing_compaction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {fr.COVERED_USERS},
-placed AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY day) AS rn FROM dense)
+placed AS (SELECT user_id, day, floor(value * 8 + 0.0003) / 8 AS value,
+  row_number() OVER (PARTITION BY user_id ORDER BY day) AS rn FROM dense)
 SELECT user_id, day, greatest(round_even(value * 700 / 3600.0::DOUBLE * 100, 0) / 100, 0) AS sol,
   CASE WHEN value IS NOT NULL THEN greatest(round_even((value - 5) * 10, 0) / 10, 0) END AS om_prec,
   round_even((value + 1000) * 10, 0) / 10 AS presion,
@@ -97,13 +98,15 @@ WHERE rn <= CASE WHEN user_id % 3 = 0 THEN 25 ELSE 30 END AND value IS NULL""")
 def reanalysis_decode(spark: SparkSession, sf: str) -> DataFrame:
     """Parallel arrays per user on an epoch axis, some with a short axis, as daily rows."""
     rows = F.sort_array(F.collect_list(F.struct("day", "value")))  # 30 days per user
-    values = fr.covered_users(spark, sf).groupBy("user_id").agg(rows.alias("r")).select(
+    days = fr.covered_users(spark, sf).withColumn(
+        "value", F.floor(F.col("value") * 8 + 0.0003) / 8)
+    values = days.groupBy("user_id").agg(rows.alias("r")).select(
         "user_id", F.col("r.value").alias("v"))
     first = 1704067200
-    days = F.when(F.col("user_id") % 3 == 0, 25).otherwise(30)
+    length = F.when(F.col("user_id") % 3 == 0, 25).otherwise(30)
     payload = values.select(
         "user_id", F.lit(first).cast("bigint").alias("start"),
-        (F.lit(first) + days * 86400).cast("bigint").alias("end"),
+        (F.lit(first) + length * 86400).cast("bigint").alias("end"),
         F.lit(86400).cast("bigint").alias("step"),
         F.transform("v", lambda x: x * 700).alias("sunshine"),
         F.transform("v", lambda x: x - 5).alias("precipitation"),

@@ -91,8 +91,7 @@ SELECT user_id, day FROM grid ANTI JOIN user_days USING (user_id, day)""")
 def missing_days(spark: SparkSession, sf: str) -> DataFrame:
     """Calendar days of the covered series on which nothing was observed."""
     planned = fr.covered_users(spark, sf).select("user_id", "day")
-    seen = fr.dated_events(spark, sf).select("user_id", "day").distinct()
-    return landing.gap_ledger(planned, seen, ["user_id", "day"])
+    return landing.gap_ledger(planned, fr.dated_events(spark, sf), ["user_id", "day"])
 
 
 @query(f"""WITH {fr.COVERED_USERS},
