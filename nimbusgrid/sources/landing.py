@@ -67,12 +67,13 @@ def compact(landed: DataFrame, *, series: str = SERIES, date: str = DATE) -> Dat
 def consolidate(spark: SparkSession, landing: str, master: str, *,
                 include_existing: bool = False, remove_parts: bool = True,
                 series: str = SERIES, date: str = DATE) -> None:
-    """Compact the landing table into yearly masters and drop the landed parts.
+    """Compact the landing table into yearly masters and drop the parts that went in.
 
     Only the years present in the landing table are rewritten.  The result is staged before the
-    overwrite, so a failed job leaves both tables readable.
+    overwrite, so a failed run can be repeated; parts that land meanwhile are left for the next.
     """
     landed = spark.read.parquet(landing)
+    parts = landed.inputFiles()
     if include_existing and storage.path_exists(spark, master):
         # At most one row per calendar year: small whatever the data, and it prunes the scan.
         years = F.broadcast(landed.select("year").distinct())
@@ -86,4 +87,4 @@ def consolidate(spark: SparkSession, landing: str, master: str, *,
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year").parquet(master))
     if remove_parts:
-        storage.delete_path(spark, landing)
+        storage.delete_files(spark, parts)

@@ -25,9 +25,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, target = _filesystem(spark, path)
-    fs.delete(target, True)
+def delete_files(spark: SparkSession, files: Sequence[str]) -> None:
+    """Delete the named files, as a DataFrame lists its inputs, and nothing else."""
+    jvm = spark.sparkContext._jvm
+    for name in files:  # listed URL-encoded
+        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, False)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", *,

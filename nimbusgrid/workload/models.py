@@ -20,8 +20,8 @@ _STORES: dict[tuple[str, str], tuple[str, DataFrame, DataFrame]] = {}
 
 
 def _labelled_panel(spark: SparkSession, sf: str) -> DataFrame:
-    panel = station_panel(spark, sf, min_coverage=0.02)
-    return stage(training.with_ids(panel, label_series(panel)), "panel")
+    panel = stage(station_panel(spark, sf, min_coverage=0.02), "panel")
+    return training.with_ids(panel, label_series(panel))
 
 
 def _store(spark: SparkSession, sf: str) -> tuple[str, DataFrame, DataFrame]:

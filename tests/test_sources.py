@@ -75,7 +75,7 @@ def test_clamped_requests(spark):
     assert [tuple(r) for r in got] == [(D(2024, 1, 1), D(2024, 3, 1))]
 
 
-def test_consolidate(spark, tmp_path):
+def test_consolidate(spark, tmp_path, monkeypatch):
     parts, master = str(tmp_path / "parts"), str(tmp_path / "master")
     schema = "indicativo string, fecha date, v int"
 
@@ -85,15 +85,24 @@ def test_consolidate(spark, tmp_path):
 
     land([("X", D(2024, 1, 1), 1), ("X", D(2024, 1, 1), 2), ("X", D(2024, 1, 2), 3)], "2024-01-01", "2024-06-30")
     land([("X", D(2024, 1, 2), 4)], "2024-07-01", "2024-12-31")
+    real_delete = storage.delete_files
+
+    def late_batch_arrives(session, files):
+        land([("Z", D(2024, 7, 1), 7)], "2024-07-01", "2024-12-31")
+        real_delete(session, files)
+
+    monkeypatch.setattr(storage, "delete_files", late_batch_arrives)
     landing.consolidate(spark, parts, master)
+    monkeypatch.setattr(storage, "delete_files", real_delete)
     def read():
         return {(r.indicativo, r.fecha): r.v for r in spark.read.parquet(master).collect()}
     assert read() == {("X", D(2024, 1, 1)): 2, ("X", D(2024, 1, 2)): 4}
-    assert not storage.path_exists(spark, parts)
+    assert [r.indicativo for r in spark.read.parquet(parts).collect()] == ["Z"]  # the late batch only
     land([("X", D(2024, 1, 2), 9), ("X", D(2024, 1, 3), 1)], "2024-01-01", "2024-06-30")
     land([("X", D(2025, 1, 1), 5)], "2025-01-01", "2025-06-30")
     landing.consolidate(spark, parts, master, include_existing=True)
-    assert read() == {("X", D(2024, 1, 1)): 2, ("X", D(2024, 1, 2)): 9, ("X", D(2024, 1, 3)): 1, ("X", D(2025, 1, 1)): 5}
+    assert read() == {("X", D(2024, 1, 1)): 2, ("X", D(2024, 1, 2)): 9, ("X", D(2024, 1, 3)): 1,
+                      ("X", D(2025, 1, 1)): 5, ("Z", D(2024, 7, 1)): 7}
 
 
 def test_reanalysis_decode(spark):
