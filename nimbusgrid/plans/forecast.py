@@ -88,15 +88,23 @@ def _forest(spark: SparkSession, model: PipelineModel, target: str, folder: str)
             "depth": max(t.depth for t in stage.trees), "names": model_features(model)}
 
 
-def _predict(forest: dict, x: np.ndarray) -> np.ndarray:
-    """Weighted sum of the leaf values, walking all trees for all rows level by level."""
+def _predict(forest: dict, x: np.ndarray, cells: int = 1_000_000) -> np.ndarray:
+    """Weighted sum of the leaf values, walking all trees for many rows level by level.
+
+    Rows are taken in slices of about ``cells`` (row, tree) pairs, which bounds the memory used.
+    """
     trees = np.arange(len(forest["weights"]))[None, :]
-    rows = np.arange(len(x))[:, None]
-    at = np.zeros((len(x), trees.shape[1]), dtype=np.int32)
-    for _ in range(forest["depth"]):
-        left = x[rows, forest["feature"][trees, at]] <= forest["threshold"][trees, at]
-        at = np.where(left, forest["left"][trees, at], forest["right"][trees, at])
-    return forest["value"][trees, at] @ forest["weights"]
+    out = np.empty(len(x))
+    size = max(1, cells // trees.shape[1])
+    for low in range(0, len(x), size):
+        part = x[low:low + size]
+        rows = np.arange(len(part))[:, None]
+        at = np.zeros((len(part), trees.shape[1]), dtype=np.int32)
+        for _ in range(forest["depth"]):
+            left = part[rows, forest["feature"][trees, at]] <= forest["threshold"][trees, at]
+            at = np.where(left, forest["left"][trees, at], forest["right"][trees, at])
+        out[low:low + size] = forest["value"][trees, at] @ forest["weights"]
+    return out
 
 
 def _feature(name: str, past: dict[str, np.ndarray], now: dict[str, np.ndarray]) -> np.ndarray:

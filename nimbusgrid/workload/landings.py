@@ -44,17 +44,22 @@ def request_windows(spark: SparkSession, sf: str) -> DataFrame:
     return _planned(spark, sf)
 
 
-@query(f"""WITH {_PLANNED_SQL}
-SELECT s_suppkey, window_start, window_end FROM planned ANTI JOIN (
-  SELECT l_suppkey AS s_suppkey, make_date(year(l_shipdate), CASE WHEN month(l_shipdate) < 7 THEN 1 ELSE 7 END, 1)
-    AS window_start FROM lineitem WHERE l_quantity > 48) USING (s_suppkey, window_start)""")
+@query("""WITH planned AS (SELECT c_custkey, CAST(g.w AS DATE) AS window_start,
+  least(CAST(g.w + INTERVAL 6 MONTH - INTERVAL 1 DAY AS DATE), DATE '2001-07-31') AS window_end
+  FROM customer, generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-07-31', INTERVAL 6 MONTH) g(w)
+  WHERE g.w < TIMESTAMP '2001-07-31')
+SELECT c_custkey, window_start, window_end FROM planned ANTI JOIN (
+  SELECT o_custkey AS c_custkey, make_date(year(o_orderdate), CASE WHEN month(o_orderdate) < 7 THEN 1 ELSE 7 END, 1)
+    AS window_start FROM orders) USING (c_custkey, window_start)""")
 def gap_ledger(spark: SparkSession, sf: str) -> DataFrame:
-    """Windows in which a supplier shipped no large item."""
-    day = F.col("l_shipdate")
+    """Half-year windows in which a customer ordered nothing."""
+    day = F.col("o_orderdate")
     opened = F.make_date(F.year(day), F.when(F.month(day) < 7, 1).otherwise(7), F.lit(1))
-    landed = fr.table(spark, sf, "lineitem").filter("l_quantity > 48").select(
-        F.col("l_suppkey").alias("s_suppkey"), opened.alias("window_start"))
-    return landing.gap_ledger(_planned(spark, sf), landed, ["s_suppkey", "window_start"])
+    landed = fr.table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), opened.alias("window_start"))
+    customers = fr.table(spark, sf, "customer").select("c_custkey")
+    planned = landing.request_windows(customers, fr.ORDER_START, fr.ORDER_END)
+    return landing.gap_ledger(planned, landed, ["c_custkey", "window_start"])
 
 
 @query(f"""WITH {_PLANNED_SQL}
@@ -128,8 +133,8 @@ def csv_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {_SUBSCRIPTIONS_SQL},
-changes AS (SELECT CAST(o_custkey AS VARCHAR) AS telegram_id, 'NATION_' || (o_orderkey % 25) AS station_code,
-  o_orderpriority AS station_name, o_orderdate AS moment FROM orders WHERE o_orderkey % 3 = 0),
+changes AS (SELECT CAST(o_orderkey // 2 AS VARCHAR) AS telegram_id, 'NATION_' || (o_orderkey % 25) AS station_code,
+  o_orderpriority AS station_name, o_orderdate AS moment FROM orders),
 folded AS (SELECT telegram_id, station_code AS sc, station_name AS sn, first_at, moment AS last_at FROM (
   SELECT *, min(moment) OVER (PARTITION BY telegram_id) AS first_at, row_number() OVER (
     PARTITION BY telegram_id ORDER BY moment DESC, station_code DESC, station_name DESC) AS rn FROM changes)
@@ -138,9 +143,10 @@ SELECT telegram_id, coalesce(sc, station_code) AS station_code, coalesce(sn, sta
   coalesce(active, true) AS active, coalesce(created_at, first_at) AS created_at,
   coalesce(last_at, updated_at) AS updated_at FROM subs FULL JOIN folded USING (telegram_id)""")
 def subscription_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    """Two changes per id; some ids are known, the rest are new."""
     c = F.col
-    changes = fr.table(spark, sf, "orders").filter("o_orderkey % 3 = 0").select(
-        c("o_custkey").cast("string").alias("telegram_id"),
+    changes = fr.table(spark, sf, "orders").select(
+        F.expr("o_orderkey div 2").cast("string").alias("telegram_id"),
         F.concat(F.lit("NATION_"), (c("o_orderkey") % 25).cast("string")).alias("station_code"),
         c("o_orderpriority").alias("station_name"), c("o_orderdate").alias("at"))
     return subscriptions.upsert(_subscriptions(spark, sf), changes)
