@@ -23,7 +23,8 @@ def clean_panel(observed: DataFrame, reanalysis: DataFrame | None = None, *,
     """
     keys = {"series": series, "date": date}
     own = observed.drop(*k.REPLACED_FIELDS)
-    rest = [c for c in own.columns if c not in (series, date)]
+    # Repeated days: a fixed order that prefers rows with values.
+    rest = [F.asc_nulls_last(c) for c in own.columns if c not in (series, date)]
     unique = ops.keep_first(own, [series, date], rest).withColumn("_seen", F.lit(1))
     if reanalysis is None:
         merged = unique.withColumns({c: F.lit(None).cast("double") for c in k.REANALYSIS_FIELDS})

@@ -24,10 +24,11 @@ def decode(payload: DataFrame, *, series: str = SERIES, date: str = DATE,
     arrays = ["_t", "sunshine", "precipitation", "pressure", "cloud"]
     rows = sized.select(series, F.inline(F.arrays_zip(*[
         F.slice(c, F.lit(1), F.col("_n")).alias(c) for c in arrays])))
-    moment = F.timestamp_seconds(F.col("_t") + shift_hours * 3600)
+    # Whole days since the epoch, so the session time zone plays no part.
+    day = F.floor((F.col("_t") + shift_hours * 3600) / 86400).cast("int")
     return rows.select(
         series,
-        F.to_date(moment).alias(date),
+        F.date_from_unix_date(day).alias(date),
         bounded(rint_to(F.col("sunshine") / 3600.0, 2), 0).alias("sol"),
         bounded(rint_to(F.col("precipitation"), 1), 0).alias("om_prec"),
         rint_to(F.col("pressure"), 1).alias("presion"),

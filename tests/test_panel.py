@@ -171,3 +171,24 @@ def test_quality_report(spark):
     worst = quality.worst_series(quality.with_quality_score(df)).collect()
     assert [(r.nombre, r.estimated_pct) for r in worst] == [("A", 75.0), ("B", 0.0)]
     assert tuple(quality.dataset_summary(df).first()) == (2, 3)
+
+
+def test_repeated_days_prefer_values(spark):
+    df = spark.createDataFrame([_record(D(2024, 1, 1), None, None), _record(D(2024, 1, 1), 9.0, 1.0)], RECORD)
+    (row,) = clean_panel(df, start="2024-01-01", end="2024-01-01", min_coverage=None).collect()
+    assert (row.tmed, row.tmed_est, row.prec) == (9.0, 0, 1.0)
+
+
+def test_hot_series_is_averaged_before_the_series_shuffle(spark):
+    events = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40).cast("string").alias("indicativo"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 7).cast("int")).alias("fecha"),
+        (F.col("id") % 11).cast("double").alias("x"))
+    daily = panel.daily_mean(events, {"v": F.col("x")})
+    out = panel.densify(daily, "2024-01-01", "2024-01-10")
+    assert out.count() == 40 * 10
+    pdf = events.toPandas().groupby(["indicativo", "fecha"])["x"].mean()
+    for r in out.filter("v is not null").collect():
+        assert r.v == pytest.approx(pdf[r.indicativo, r.fecha])
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    assert "partial_avg" in plan
