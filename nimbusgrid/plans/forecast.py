@@ -37,13 +37,11 @@ def onestep_forecast(panel: DataFrame, models: Mapping[str, PipelineModel],
                           & set(rows.columns))
     # Rows whose history is incomplete cannot be scored by every tree: keep them out of the
     # vector, not out of the result.
-    ready = F.lit(True)
-    for c in feature_cols:
-        ready = ready & F.col(c).isNotNull()
-    filled = rows.select(
-        date, series, ready.alias("_ready"),
-        *[F.col(c).alias(f"real_{c}") for c in REAL_COLS if c in rows.columns],
-        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in feature_cols])
+    filled = rows.selectExpr(
+        f"`{date}`", f"`{series}`",
+        " AND ".join(f"`{c}` IS NOT NULL" for c in feature_cols) + " AS _ready",
+        *[f"`{c}` AS `real_{c}`" for c in REAL_COLS if c in rows.columns],
+        *[f"coalesce(cast(`{c}` AS double), 0D) AS `{c}`" for c in feature_cols])
     names = [prediction_column(t) for t in models]
     scored = score_all(filled, models).withColumns(
         {n: F.when(F.col("_ready"), F.col(n)) for n in names})

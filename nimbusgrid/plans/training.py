@@ -120,7 +120,8 @@ def score(frame: DataFrame, target: str, model: PipelineModel, *, missing: float
     out = model.transform(frame.withColumns({c: F.lit(missing) for c in absent})
                           if absent else frame)
     value = (vector_to_array("probability")[1] if target == "rain" else F.col("prediction"))
-    return out.select(*frame.columns, value.alias(name or prediction_column(target)))
+    return out.withColumn(name or prediction_column(target), value).drop(
+        "features", "rawPrediction", "probability", "prediction", *absent)
 
 
 def score_all(frame: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:

@@ -15,7 +15,7 @@ from nimbusgrid.workload.panels import station_panel
 from nimbusgrid.workload.registry import query
 
 _VAL, _TEST = "2000-01-01", "2001-01-01"
-_ROUNDS = 5
+_ROUNDS = 3
 _STORES: dict[tuple[str, str], tuple[str, DataFrame, DataFrame]] = {}
 
 
@@ -30,7 +30,7 @@ def _store(spark: SparkSession, sf: str) -> tuple[str, DataFrame, DataFrame]:
     if key not in _STORES:
         panel = _labelled_panel(spark, sf)
         models, frame = training.train(panel, val_start=_VAL, test_start=_TEST,
-                                       max_iter=_ROUNDS, parallel=4)
+                                       max_iter=_ROUNDS, parallel=7)
         folder = staging_path(spark, "models")
         training.save_models(models, folder)
         _STORES[key] = folder, panel, frame
