@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
@@ -187,8 +187,8 @@ def recursive_forecast(history: DataFrame, models: Mapping[str, PipelineModel],
 
     targets = [t for t in models if t != "rain"]
     carried = [c for c in k.PERSISTED_COLS if c not in targets]
-    fields = [T.StructField(date, T.DateType()), T.StructField(series, history.schema[series].dataType)]
-    fields += [T.StructField(c, history.schema[c].dataType) for c in statics]
+    fields = [T.StructField(date, T.DateType())]
+    fields += [T.StructField(c, history.schema[c].dataType) for c in (series, *statics)]
     fields += [T.StructField(c, T.DoubleType()) for t in targets for c in (t, f"pred_{t}")]
     if "rain" in models:
         fields += [T.StructField(c, T.DoubleType()) for c in ("prec", "prob_rain")]

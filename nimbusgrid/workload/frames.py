@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from nimbusgrid.operators.panel import daily_mean, densify, keep_covered
+from nimbusgrid.operators.panel import daily_mean, densify
 
 EVENT_START, EVENT_END = "2024-01-01", "2024-01-30"
 ORDER_START, ORDER_END = "1995-01-01", "2001-07-31"

@@ -10,7 +10,6 @@ from nimbusgrid.sources import landing, reanalysis, records, storage, subscripti
 from nimbusgrid.streaming import landing as streaming
 from nimbusgrid.workload import frames as fr
 from nimbusgrid.workload.formulas import _VALID, RAW_RECORDS, raw_records
-from nimbusgrid.workload.frames import r6, s6
 from nimbusgrid.workload.registry import query
 from nimbusgrid.workload.serving import _SUBSCRIPTIONS_SQL, _subscriptions
 

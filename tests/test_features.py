@@ -2,8 +2,6 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
-import pytest
-from pyspark.sql import functions as F
 
 from nimbusgrid.operators import features, labels
 
