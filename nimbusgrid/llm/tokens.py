@@ -17,12 +17,15 @@ makes a shard of a lost executor appear once, and readers need no local path.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,35 +36,75 @@ MAGIC = b"WVM1"
 END_ID = 1
 SHARD_TOKENS = 1 << 20
 _STEP = 64  # bytes between two entries of a rank directory
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 800_000
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint16)
 _STATE: dict = {}
 
 
+#: Words the short way covers: lower-case letters up to U+00FF, digits and ASCII marks.
+_PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The vocabulary writes a byte as the character of that code, or, where that is a blank or a
+    control, as the next free one from 256 upwards."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of texts by the tokenizers library, word by word with a bounded cache.
 
     The vocabulary's patterns never span a blank, so the ids of a text are those of its
-    blank-separated pieces put together; each piece is encoded by the library once per cache.
+    blank-separated words put together, and a word is encoded once per cache.  A word of plain
+    characters goes straight to the library's model, piece by piece; any other, and any that may
+    hold a special token, through the library's whole pipeline.
     """
 
+    # Fixed pattern of the vocabulary, for plain lower-case words.
+    _PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[!-/:-@\\[-`{-~]+")
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
+        settings = json.loads(self._tokenizer.to_str())
+        self._short = "</w>" == settings["model"].get("end_of_word_suffix") and [
+            n["type"] for n in (settings.get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+        self._model = self._tokenizer.model
+        self._letters = {b: c for b, c in _byte_letters().items()}
         top = max(self._tokenizer.get_vocab().values())
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
+        self._code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self._cache: dict[str, bytes] = {}
 
+    def _word(self, word: str) -> bytes:
+        out = []
+        for piece in self._PIECES.findall(word.lower()):
+            found = self._cache.get(piece) if len(piece) < 4 else None
+            if found is None:
+                shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
+                found = array(self._code, [t.id for t in self._model.tokenize(shown)]).tobytes()
+                if len(piece) < 4:
+                    self._cache[piece] = found
+            out.append(found)
+        return b"".join(out)
+
     def __call__(self, text: str) -> np.ndarray:
         words = text.replace("\n", " ").split(" ")
         cache = self._cache
-        missing = [w for w in set(words) if w not in cache]
+        missing = set(words).difference(cache)
         if missing:
             if len(cache) + len(missing) > _CACHE_WORDS:
                 cache.clear()
-                missing = list(set(words))
-            found = self._tokenizer.encode_batch_fast(missing, add_special_tokens=False)
-            for word, encoded in zip(missing, found):
+                missing = set(words)
+            plain, other = _PLAIN.fullmatch, []
+            for word in missing:
+                if self._short and plain(word) and "<|" not in word:
+                    cache[word] = self._word(word)
+                else:
+                    other.append(word)
+            for word, encoded in zip(other, self._tokenizer.encode_batch_fast(other, add_special_tokens=False)):
                 cache[word] = np.array(encoded.ids, dtype=self.dtype).tobytes()
         return np.frombuffer(b"".join(map(cache.__getitem__, words)), dtype=self.dtype)
 
@@ -83,11 +126,11 @@ def pack(ids: np.ndarray, documents: np.ndarray) -> bytes:
         counts = np.add.reduceat(_POPCOUNT[packed].astype(np.uint32), np.arange(0, len(packed), _STEP)) \
             if len(packed) else np.zeros(0, np.uint32)
         directory = np.concatenate([[0], np.cumsum(counts)]).astype("<u4")
-        blocks.append(zlib.compress(directory.tobytes() + packed.tobytes(), 1))
+        blocks.append(zstandard.compress(directory.tobytes() + packed.tobytes(), 1))
         low, high = current[~ones], current[ones]
         zeros.append(len(low))
         current = np.concatenate([low, high])
-    head = zlib.compress(documents.astype("<i8").tobytes(), 1)
+    head = zstandard.compress(documents.astype("<i8").tobytes(), 1)
     header = json.dumps({"n": len(ids), "documents": len(documents), "zeros": zeros,
                          "blocks": [len(b) for b in blocks], "table": len(head)}).encode()
     return b"".join([MAGIC, struct.pack("<I", len(header)), header, head, *blocks])
@@ -102,11 +145,11 @@ class WaveletMatrix:
         size = struct.unpack_from("<I", data, 4)[0]
         header = json.loads(data[8:8 + size])
         self.n, self.zeros, at = header["n"], header["zeros"], 8 + size
-        self.documents = np.frombuffer(zlib.decompress(data[at:at + header["table"]]), "<i8").reshape(-1, 3)
+        self.documents = np.frombuffer(zstandard.decompress(data[at:at + header["table"]]), "<i8").reshape(-1, 3)
         at += header["table"]
         self._planes, entries = [], 4 * (-(-(-(-self.n // 8)) // _STEP) + 1)
         for length in header["blocks"]:
-            raw = zlib.decompress(data[at:at + length])
+            raw = zstandard.decompress(data[at:at + length])
             at += length
             self._planes.append((np.frombuffer(raw, "<u4", entries // 4), np.frombuffer(raw, np.uint8, offset=entries)))
 
