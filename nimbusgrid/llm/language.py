@@ -93,9 +93,10 @@ def features(texts: list[str]) -> np.ndarray:
 
 
 def _adam(start: np.ndarray, gradient, steps: int = 200, rate: float = 0.1) -> np.ndarray:
-    w, m, v = start.copy(), np.zeros_like(start), np.zeros_like(start)
+    w = start.astype(np.float32)
+    m, v = np.zeros_like(w), np.zeros_like(w)
     for k in range(1, steps + 1):
-        g = gradient(w)
+        g = gradient(w).astype(np.float32)
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= rate * (m / (1 - 0.9 ** k)) / (np.sqrt(v / (1 - 0.99 ** k)) + 1e-8)
     return w
@@ -150,16 +151,17 @@ def fit(x: np.ndarray, langs: list[str]) -> Discriminator:
     x = np.hstack([x, np.ones((len(x), 1), np.float32)])
     lang = np.array(langs)
     weight = np.array([1 / np.sum(lang == c) for c in codes])[np.searchsorted(codes, lang)]
-    weight /= weight.sum()
+    weight = (weight / weight.sum()).astype(np.float32)
     own = np.array([families.index(family_of(c)) for c in langs])
-    hot = np.eye(len(families))[own]
+    hot = np.eye(len(families), dtype=np.float32)[own]
     top = _adam(np.zeros((x.shape[1], len(families))),
                 lambda w: x.T @ ((_softmax(x @ w) - hot) * weight[:, None]) + 1e-5 * w)
     model = Discriminator(families, languages, top)
     for group in languages.values():
         for a, b in combinations(group, 2):
             rows = (lang == a) | (lang == b)
-            y, part, share = np.where(lang[rows] == a, 1.0, -1.0), x[rows], weight[rows] / weight[rows].sum()
+            y = np.where(lang[rows] == a, 1, -1).astype(np.float32)
+            part, share = x[rows], weight[rows] / weight[rows].sum()
             model.pairs[a, b] = _adam(np.zeros(x.shape[1]), lambda w: part.T @ (
                 -2 * y * np.maximum(0, 1 - y * (part @ w)) * share) + 1e-5 * w)
     return model
