@@ -79,8 +79,14 @@ class Encoder:
         self._cache: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
-        out = []
-        for piece in self._PIECES.findall(word.lower()):
+        lower, out = word.lower(), []
+        if lower.isalpha():
+            pieces = (lower,)
+        elif lower[-1] in ".," and lower[:-1].isalpha():
+            pieces = (lower[:-1], lower[-1])
+        else:
+            pieces = self._PIECES.findall(lower)
+        for piece in pieces:
             found = self._cache.get(piece) if len(piece) < 4 else None
             if found is None:
                 shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
@@ -93,8 +99,9 @@ class Encoder:
     def __call__(self, text: str) -> np.ndarray:
         words = text.replace("\n", " ").split(" ")
         cache = self._cache
-        missing = set(words).difference(cache)
-        if missing:
+        found = list(map(cache.get, words))
+        if None in found:
+            missing = {w for w, ids in zip(words, found) if ids is None}
             if len(cache) + len(missing) > _CACHE_WORDS:
                 cache.clear()
                 missing = set(words)
@@ -106,7 +113,8 @@ class Encoder:
                     other.append(word)
             for word, encoded in zip(other, self._tokenizer.encode_batch_fast(other, add_special_tokens=False)):
                 cache[word] = np.array(encoded.ids, dtype=self.dtype).tobytes()
-        return np.frombuffer(b"".join(map(cache.__getitem__, words)), dtype=self.dtype)
+            found = map(cache.__getitem__, words)
+        return np.frombuffer(b"".join(found), dtype=self.dtype)
 
 
 def _encoder(path: str) -> Encoder:
@@ -120,8 +128,7 @@ def pack(ids: np.ndarray, documents: np.ndarray) -> bytes:
     planes = max(1, int(ids.max()).bit_length()) if len(ids) else 1
     current, blocks, zeros = ids, [], []
     for k in range(planes):
-        bits = (current >> (planes - 1 - k)) & 1
-        ones = bits.astype(bool)
+        ones = (current & ids.dtype.type(1 << (planes - 1 - k))) != 0
         packed = np.packbits(ones)
         counts = np.add.reduceat(_POPCOUNT[packed].astype(np.uint32), np.arange(0, len(packed), _STEP)) \
             if len(packed) else np.zeros(0, np.uint32)
@@ -213,12 +220,13 @@ class WaveletMatrix:
     def ids(self) -> np.ndarray:
         """The whole sequence."""
         planes = len(self.zeros)
-        values = np.zeros(self.n, dtype=np.uint32)
+        kind = np.uint16 if planes <= 16 else np.uint32
+        values = np.zeros(self.n, dtype=kind)
         for k in range(planes - 1, -1, -1):
-            ones = np.unpackbits(self._planes[k][1], count=self.n).astype(bool)
+            ones = np.unpackbits(self._planes[k][1], count=self.n).view(bool)
             merged = np.empty_like(values)
             merged[~ones] = values[:self.zeros[k]]
-            merged[ones] = values[self.zeros[k]:] | np.uint32(1 << (planes - 1 - k))
+            merged[ones] = values[self.zeros[k]:] | kind(1 << (planes - 1 - k))
             values = merged
         return values
 
