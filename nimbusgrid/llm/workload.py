@@ -1,6 +1,6 @@
 """All queries of this folder, for the driver's entry module."""
 
-from nimbusgrid.llm import decontaminate, jaccard, language, mixing, pii, secrets, tokens, toxicity  # noqa: F401
+from nimbusgrid.llm import decontaminate, jaccard, language, mixing, neighbours, pii, secrets, tokens, toxicity  # noqa: F401
 from nimbusgrid.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
