@@ -45,6 +45,15 @@ def discard(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Rows of ids that are sent to every executor to pick rows by, some 16 to 32 bytes each.
+BROADCAST_IDS = 1 << 20
+
+
+def picked(rows: DataFrame, ids: DataFrame, on, how: str) -> DataFrame:
+    """``rows`` joined with ids (one row each), which are broadcast if they are few, as counted."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, on, how)
+
+
 def uniform(*columns: Column | str, seed: str = "") -> Column:
     """A number in (0, 1) that depends on the columns alone: 48 bits of MD5, as SQL can form too."""
     text = F.concat_ws("|", F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in columns])

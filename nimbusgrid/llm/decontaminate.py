@@ -196,8 +196,10 @@ def matches(docs: DataFrame, items: DataFrame, *, keep: tuple[str, ...] = ("doc_
     items all match; repeated rows each get theirs; an empty table on either side gives no matches.
     """
     spark, names = docs.sparkSession, list(keep)
-    kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
-    out = docs.select(*names, F.col(text_col).alias("_body"), F.array().cast(MATCHES.split(" ", 1)[1]).alias("matches"))
+    carried = names if text_col in names else [*names, "_body"]
+    at_text = carried.index(text_col) if text_col in names else len(names)
+    out = docs.withColumn("_body", F.col(text_col)).select(*carried, F.array().cast(MATCHES.split(" ", 1)[1]).alias("matches"))
+    kept = ", ".join(f"`{c}` {out.schema[c].dataType.simpleString()}" for c in carried)
     for part in _slices(items, item_id, item_text, index_bytes):
         shared = spark.sparkContext.broadcast(Index(part, ratio, overlap))
 
@@ -205,7 +207,7 @@ def matches(docs: DataFrame, items: DataFrame, *, keep: tuple[str, ...] = ("doc_
             index = shared.value
             for batch in batches:
                 rows = []
-                for text, before in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()):
+                for text, before in zip(batch.column(at_text).to_pylist(), batch.column(len(carried)).to_pylist()):
                     best: dict[int, tuple[float, int]] = {}
                     for i, score, at in index.search(text):
                         if score > best.get(i, (0.0, 0))[0]:
@@ -213,10 +215,10 @@ def matches(docs: DataFrame, items: DataFrame, *, keep: tuple[str, ...] = ("doc_
                     mine = [{"item": index.ids[i], "score": s, "word": w} for i, (s, w) in best.items()]
                     rows.append(sorted([*before, *mine], key=lambda m: (m["item"], m["word"])))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, _MATCH_TYPE)],
-                                                 [*names, "_body", "matches"])
+                                                 [*carried, "matches"])
 
-        out = map_arrow(out, run, f"{kept}{', ' if kept else ''}_body string, {MATCHES}")
-    return out.drop("_body")
+        out = map_arrow(out, run, f"{kept}, {MATCHES}")
+    return out.drop("_body") if "_body" in carried else out
 
 
 @query()

@@ -30,13 +30,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nimbusgrid.llm.common import components, discard, keep, map_arrow, table
+from nimbusgrid.llm.common import components, discard, keep, map_arrow, picked, table
 from nimbusgrid.llm.registry import query
 
 #: A shingle among the first of documents of more than this many groups is moved to the end.
 COMMON_GROUPS = 24
-#: Rows of documents that are sent to every executor to pick texts, 16 bytes each.
-BROADCAST_IDS = 1 << 20
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,8 +93,6 @@ def _whole_sets(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
     Of a repeated id every row counts.
     """
-    chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
     def run(batches):
         for batch in batches:
             found = [shingles(t, width) for t in batch.column(1).to_pylist()]
@@ -106,7 +102,7 @@ def _whole_sets(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                 [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int64()))],
                 ["id", "tokens"])
 
-    return map_arrow(texts.join(chosen, texts["id"] == chosen["rep"], "left_semi"), run, "id long, tokens array<long>")
+    return map_arrow(picked(texts, ids, texts["id"] == ids["rep"], "left_semi"), run, "id long, tokens array<long>")
 
 
 def _ordered(reps: DataFrame, common: DataFrame, percent: int) -> DataFrame:

@@ -203,10 +203,11 @@ def predict(docs: DataFrame, model: Discriminator, *, text_col: str = "text", la
     """
     if {lang_out, score_out} & set(keep):
         raise ValueError("output columns clash with kept ones")
+    at_text = keep.index(text_col) if text_col in keep else len(keep)
 
     def run(batches):
         for batch in batches:
-            texts, langs, scores = batch.column(len(keep)).to_pylist(), [], []
+            texts, langs, scores = batch.column(at_text).to_pylist(), [], []
             for at in range(0, len(texts), 256):
                 some, score = model.predict(texts[at:at + 256])
                 langs += some
@@ -217,7 +218,8 @@ def predict(docs: DataFrame, model: Discriminator, *, text_col: str = "text", la
                 [*keep, lang_out, score_out])
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return map_arrow(docs.select(*keep, F.col(text_col).alias("_body")), run,
+    read = docs.select(*keep) if text_col in keep else docs.select(*keep, F.col(text_col).alias("_body"))
+    return map_arrow(read, run,
                      f"{kept}{', ' if keep else ''}`{lang_out}` string, `{score_out}` double")
 
 
