@@ -7,6 +7,7 @@ import os
 import pytest
 
 import __spark_entry__ as driver
+from nimbusgrid.workload import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -48,6 +49,6 @@ def test_entry(spark):
 
 
 def test_queries_without_sql_are_the_models():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {
+    assert set(QUERIES) - set(ORACLES) == {
         "fitted_models", "feature_importance", "final_forecast", "onestep_forecast", "recursive_forecast",
         "forecast_report", "rollout_drift"}
