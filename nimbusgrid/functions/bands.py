@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from nimbusgrid import constants as k
-from nimbusgrid.functions.scalars import rint_to
+from nimbusgrid.functions.scalars import tenths
 
 
 def decision(probability: Column, threshold: float = k.RAIN_THRESHOLD) -> Column:
@@ -86,7 +86,7 @@ def advice_icon(felt: Column) -> Column:
 def signed_difference(felt: Column, actual: Column) -> Column:
     """``+1.5°C`` style text of felt minus actual, or ``same`` when equal."""
     gap = felt - actual
-    return F.when(gap == 0, "same").otherwise(F.format_string("%+.1f°C", rint_to(gap)))
+    return F.when(gap == 0, "same").otherwise(F.format_string("%+.1f°C", tenths(gap)))
 
 
 def code_name_label(code: Column, name: Column, separator: str = " ") -> Column:

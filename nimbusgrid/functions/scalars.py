@@ -56,6 +56,23 @@ def rint_to(c: Column, digits: int = 1) -> Column:
     return F.rint(c * scale) / scale
 
 
+def tenths(c: Column) -> Column:
+    """The double nearest to ``c`` with one decimal, decided on the exact binary value.
+
+    0.35 is a little under its name and gives 0.3; 0.25 is a tie and gives the even 0.2.  Ten times
+    the value is eight and two times the value, both exact; what their sum loses is found by
+    subtraction and settles whether a half is one.
+    """
+    big, small = c * 8.0, c * 2.0
+    whole = big + small
+    part = whole - big
+    lost = (big - (whole - part)) + (small - part)
+    near = F.rint(whole)
+    half = F.abs(whole - near) == 0.5
+    return F.when(half & (lost > 0), F.ceil(whole).cast("double")).when(
+        half & (lost < 0), F.floor(whole).cast("double")).otherwise(near) / 10.0
+
+
 def sanitize_name(name: Column) -> Column:
     """Path-safe name: drop punctuation, join words with ``_`` (letters of any script stay)."""
     kept = F.regexp_replace(name, r"(?U)[^\p{L}\p{N}_\s-]", "")

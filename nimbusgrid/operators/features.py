@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nimbusgrid import DATE, SERIES
 from nimbusgrid import constants as k
@@ -102,9 +103,17 @@ def to_valid_time(df: DataFrame, cols: Sequence[str], *, series: str = SERIES,
 
 # --- row selection -------------------------------------------------------------------------
 
-def last_row(df: DataFrame, *, series: str = SERIES, date: str = DATE) -> DataFrame:
-    """The latest row per series (cut to one row per map task before the shuffle)."""
-    rank = F.row_number().over(Window.partitionBy(series).orderBy(F.desc(date)))
+def last_row(df: DataFrame, *, ties: Sequence[str] = (), series: str = SERIES,
+             date: str = DATE) -> DataFrame:
+    """The latest row per series (cut to one row per map task before the shuffle).
+
+    Of rows with the same time, the one that is greatest by ``ties``, by default by all columns
+    that have an order.
+    """
+    ties = ties or [f.name for f in df.schema.fields if f.name not in (series, date)
+                    and not isinstance(f.dataType, T.MapType)]
+    rank = F.row_number().over(Window.partitionBy(series).orderBy(
+        F.desc(date), *[F.desc(c) for c in ties]))
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 

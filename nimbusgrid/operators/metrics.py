@@ -52,7 +52,7 @@ def regression_metrics(df: DataFrame, pairs: Mapping[str, tuple[str, str]], *,
 
 
 def degradation_table(df: DataFrame, targets: Sequence[str], *,
-                      buckets: int | None = None) -> DataFrame:
+                      partitions: int | None = None) -> DataFrame:
     """Per target: one-step MAE, exact median error and R², recursive MAE, and the growth in %.
 
     Columns are ``real_{t}``, ``{t}_onestep`` and ``{t}_recursive``; a target that lacks one is
@@ -74,7 +74,7 @@ def degradation_table(df: DataFrame, targets: Sequence[str], *,
                  F.abs(F.col(f"real_{t}") - F.col(f"{t}_onestep")).alias("error"))
         for t in targets])))
     medians = exact_quantiles(errors, "error", {"medae_onestep": 0.5}, by=["target"],
-                              buckets=buckets)
+                              partitions=partitions)
     return table.join(medians, "target").withColumn(
         "degradation_pct", F.when(F.col("mae_onestep") > 0, growth).otherwise(F.lit(0.0)))
 
@@ -127,24 +127,24 @@ def _score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ())
 
 
 def roc_auc(df: DataFrame, label: str, score: str, *, by: Sequence[str] = (),
-            buckets: int | None = None) -> DataFrame:
+            partitions: int | None = None) -> DataFrame:
     """Area under the ROC curve, ties counted half; null when a class is absent."""
     ranked = running_totals(_score_counts(df, label, score, by), score, ["pos"], by=by,
-                            descending=True, buckets=buckets)
+                            descending=True, partitions=partitions)
     won = F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos") / 2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return ranked.groupBy(*by).agg(F.when(pairs > 0, won / pairs).alias("roc_auc"))
 
 
 def roc_curve(df: DataFrame, label: str, score: str, *, drop_collinear: bool = True,
-              buckets: int | None = None) -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """Points (threshold, fpr, tpr) per distinct score, from the added (inf, 0, 0) on.
 
     ``drop_collinear`` leaves out points inside a straight stretch: those whose step into the
     point equals the step out of it.
     """
     steps = running_totals(_score_counts(df, label, score), score, ["pos", "neg"],
-                           descending=True, following=drop_collinear, buckets=buckets)
+                           descending=True, following=drop_collinear, partitions=partitions)
     points = steps.withColumns({
         "threshold": F.col(score),
         "tps": F.col("pos_before") + F.col("pos"),
@@ -173,13 +173,13 @@ def probability_histogram(df: DataFrame, probability: str, millimetres: str,
 
 
 def probability_box(df: DataFrame, probability: str, millimetres: str, *,
-                    buckets: int | None = None) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """Exact quartiles of the predicted probability per observed condition."""
     condition = F.when(rained(F.col(millimetres)) == 1, "Rainy Day").otherwise("Dry Day")
     return exact_quantiles(
         df.select(condition.alias("condition"), F.col(probability)), probability,
         {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}, by=["condition"],
-        buckets=buckets)
+        partitions=partitions)
 
 
 # --- diagnosis and report frames -----------------------------------------------------------
@@ -231,25 +231,31 @@ def scatter_frame(df: DataFrame, target: str, keys: Sequence[str] = (SERIES, DAT
     return sample_rows(df.select(*keys, f"real_{target}", f"pred_{target}"), keys, n)
 
 
+def _shown(frame: DataFrame, wanted: Mapping[str, str]) -> list[Column]:
+    """The wanted columns (name -> source) the frame has."""
+    return [F.col(source).alias(name) for name, source in wanted.items() if source in frame.columns]
+
+
 def comparative_frame(onestep: DataFrame, recursive: DataFrame,
                       targets: Sequence[str] = k.TARGETS, *, series: str = SERIES,
                       date: str = DATE) -> DataFrame:
-    """One-step beside recursive predictions and actuals, on days both have."""
-    plain = [t for t in targets if t != "rain"]
-    left = onestep.withColumnsRenamed({
-        **{f"pred_{t}": f"{t}_onestep" for t in plain},
-        "pred_prob_rain": "rain_onestep", "pred_is_raining": "rain_class_onestep"})
-    clashing = [c for c in recursive.columns if c.endswith("_recursive")]
-    right = recursive.drop(*clashing).withColumnsRenamed({
-        **{t: f"{t}_recursive" for t in plain}, "prob_rain": "rain_recursive"})
-    if "rain_recursive" in right.columns:
-        right = right.withColumn("rain_class_recursive", decision(F.col("rain_recursive")))
-    keys = [date, series]
-    return (
-        left.select(*keys, *[c for c in left.columns
-                             if "onestep" in c or c.startswith("real_")])
-        .join(right.select(*keys, *[c for c in right.columns if "recursive" in c]), keys)
-    )
+    """One-step beside recursive predictions and actuals, on days both have.
+
+    Per target ``{t}_onestep`` and ``{t}_recursive``, for rain also the classes; what a side lacks
+    is left out.
+    """
+    keys, plain = [date, series], [t for t in targets if t != "rain"]
+    ahead = {f"{t}_onestep": f"pred_{t}" for t in plain}
+    rolled = {f"{t}_recursive": t for t in plain}
+    classes = []
+    if "rain" in targets:
+        ahead |= {"rain_onestep": "pred_prob_rain", "rain_class_onestep": "pred_is_raining"}
+        rolled["rain_recursive"] = "prob_rain"
+        if "prob_rain" in recursive.columns:
+            classes.append(decision(F.col("prob_rain")).alias("rain_class_recursive"))
+    observed = [c for c in onestep.columns if c.startswith("real_")]
+    return onestep.select(*keys, *observed, *_shown(onestep, ahead)).join(
+        recursive.select(*keys, *_shown(recursive, rolled), *classes), keys)
 
 
 def seasonal_frame(df: DataFrame, variable: str, station: str | None = None, *,

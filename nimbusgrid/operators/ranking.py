@@ -1,9 +1,10 @@
 """Running totals and exact quantiles in value order, without a global sort in one task.
 
-A window without a partition would send every distinct value to one task.  Here values are cut
-into buckets at approximate quantiles; each bucket is totalled on its own, the few bucket totals
-are accumulated, and rows add their bucket's offset.  The bucket borders decide only how work is
-spread -- results are exact for any borders.
+A window without a partition would send every distinct value to one task.  Here the values are
+range partitioned in order and written with the number of their partition; each partition is
+totalled on its own, the few totals are accumulated, and rows add their partition's offset.
+Spark picks the borders from a sample; they decide only how work is spread, so results are exact
+for any borders.
 """
 
 from __future__ import annotations
@@ -16,72 +17,37 @@ from pyspark.sql import functions as F
 from nimbusgrid.session import stage
 
 
-def _bucket_count(df: DataFrame, asked: int | None) -> int:
-    """Buckets to cut into: as asked, else about twice the shuffle partitions, a power of two."""
-    if asked is not None:
-        return asked
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(8192, max(64, 1 << (2 * partitions - 1).bit_length()))
-
-
-def _steps(buckets: int) -> list[int]:
-    if buckets < 2 or buckets & (buckets - 1):
-        raise ValueError("buckets must be a power of two")
-    steps, size = [], buckets // 2
-    while size:
-        steps.append(size)
-        size //= 2
-    return steps
-
-
-def _bucket_of(value: Column, borders: Column, steps: list[int]) -> Column:
-    """Number of borders below the value, by binary search over the sorted border array."""
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda low, step: F.when(
-        F.get(borders, low + step - 1) < value, low + step).otherwise(low))
-
-
 def running_totals(df: DataFrame, value: str, totals: Sequence[str], *, by: Sequence[str] = (),
                    descending: bool = False, following: bool = False,
-                   buckets: int | None = None) -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """Add ``{t}_before`` (sum over all rows earlier in value order) and ``{t}_all``; with
     ``following`` also ``{t}_next``, the total of the next row in order.
 
-    ``df`` holds one row per (by, value).  With ``by`` each group is ordered on its own; groups
-    are expected to be few (targets, classes), their buckets carry the parallelism.  The counts
-    are staged, so whatever they were computed from (model scores, say) runs once, not once for
-    the borders, once for the bucket totals and once for the rows.
+    ``df`` holds one row per (by, value).  With ``by`` each group is ordered on its own; a large
+    group spans many partitions.  The rows are written to the shared folder when this is called,
+    so whatever they were computed from (model scores, say) runs once.
     """
     by, totals = list(by), list(totals)
-    buckets = _bucket_count(df, buckets)
-    halves = _steps(buckets)
-    df = stage(df, "ranked")
-    marks = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    borders = F.expr(f"percentile_approx(`{value}`, array({marks}), {100 * buckets})")
-    if by:
-        split = df.join(df.groupBy(*by).agg(borders.alias("_borders")), by)
-    else:
-        split = df.withColumn("_borders", df.agg(borders).scalar())
-    split = split.withColumn(
-        "_bucket", _bucket_of(F.col(value), F.col("_borders"), halves)).drop("_borders")
-
     order = F.desc if descending else F.asc
+    count = partitions or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = stage(df.repartitionByRange(count, *by, order(value))
+                   .withColumn("_part", F.spark_partition_id()), "ranked")
+
     group = [F.col(c) for c in by] or [F.lit(0)]
-    # At most ``buckets`` rows per group from here to the join.
-    across = Window.partitionBy(*group).orderBy(order("_bucket"))
+    # At most one row per group and partition from here to the join.
+    across = Window.partitionBy(*group).orderBy("_part")
     head = (F.max_by if descending else F.min_by)(F.struct(*totals), value)
-    summed = split.groupBy(*by, "_bucket").agg(
+    summed = placed.groupBy(*by, "_part").agg(
         *[F.sum(t).alias(t) for t in totals], *([head.alias("_head")] if following else []))
-    offsets = summed.select(*by, "_bucket", *[
+    offsets = summed.select(*by, "_part", *[
         F.coalesce(F.sum(t).over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias(f"_{t}_offset") for t in totals
     ], *[F.sum(t).over(Window.partitionBy(*group)).alias(f"{t}_all") for t in totals],
         *([F.lead("_head").over(across).alias("_next_head")] if following else []))
 
-    inside = Window.partitionBy(*by, "_bucket").orderBy(order(value))
+    inside = Window.partitionBy(*by, "_part").orderBy(order(value))
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
-    # A left join: an inner one would filter on the bucket, and recompute it, below the scan.
-    placed = split.join(offsets if by else F.broadcast(offsets), [*by, "_bucket"], "left")
-    return placed.select(
+    return placed.join(offsets, [*by, "_part"], "left").select(
         *df.columns,
         *[(F.col(f"_{t}_offset") + F.coalesce(F.sum(t).over(earlier), F.lit(0)))
           .alias(f"{t}_before") for t in totals],
@@ -92,7 +58,7 @@ def running_totals(df: DataFrame, value: str, totals: Sequence[str], *, by: Sequ
 
 
 def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float], *,
-                    by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+                    by: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles as columns, one row per group.
 
     Equal values are counted together before any shuffle of rows; null values are left out.
@@ -100,7 +66,7 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
     by = list(by)
     counted = (df.filter(F.col(value).isNotNull()).groupBy(*by, value)
                .agg(F.count(F.lit(1)).alias("n")))
-    ranked = running_totals(counted, value, ["n"], by=by, buckets=buckets)
+    ranked = running_totals(counted, value, ["n"], by=by, partitions=partitions)
 
     def at(rank: Column) -> Column:
         holds = (F.col("n_before") <= rank) & (rank < F.col("n_before") + F.col("n"))

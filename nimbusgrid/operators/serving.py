@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from nimbusgrid import DATE, SERIES
 from nimbusgrid.functions import bands
-from nimbusgrid.functions.scalars import rint_to
+from nimbusgrid.functions.scalars import tenths
 from nimbusgrid.operators.joins import with_station
 from nimbusgrid.operators.panel import keep_first
 
@@ -81,43 +81,30 @@ def weekly_trend(df: DataFrame, day, *, series: str = SERIES, date: str = DATE)
         (F.col("prob_rain") * 5).alias("rain_scaled"), "pred_windchill")
 
 
-# The alert text, line by line.
-_ALERT_INDENT = " " * 12
-_ALERT_LINES = (
-    "<b>🌡️ Wind Chill Notification</b>",
-    "",
-    "📍 <b>Station:</b> {station}",
-    "📅 <b>Date:</b> {date}",
-    "🕗 <b>Time:</b> 07:00 AM",
-    "",
-    "🌡️ <b>Actual temperature:</b> {actual}°C",
-    "🎚️ <b>Wind chill:</b> {felt}°C {icon}",
-    "📊 <b>Difference:</b> {difference}",
-    "",
-    "💡 <b>Tip:</b> {tip}",
-    "",
-    "<i>Automated notification from the weather system.</i>",
-)
+# Fixed value: the alert text; its gaps are station, day, actual and felt temperature, icon,
+# difference and tip.
+_ALERT = """
+            <b>🌡️ Wind Chill Notification</b>
+
+            📍 <b>Station:</b> %s
+            📅 <b>Date:</b> %s
+            🕗 <b>Time:</b> 07:00 AM
+
+            🌡️ <b>Actual temperature:</b> %.1f°C
+            🎚️ <b>Wind chill:</b> %.1f°C %s
+            📊 <b>Difference:</b> %s
+
+            💡 <b>Tip:</b> %s
+
+            <i>Automated notification from the weather system.</i>
+        """
 
 
 def alert_text(station: Column, day: Column, felt: Column, actual: Column) -> Column:
     """The message sent for one subscription."""
-    one = "%.1f"
-    fields = {
-        "station": station,
-        "date": F.date_format(day, "dd/MM/yyyy"),
-        "actual": F.format_string(one, rint_to(actual)),
-        "felt": F.format_string(one, rint_to(felt)),
-        "icon": bands.advice_icon(felt),
-        "difference": bands.signed_difference(felt, actual),
-        "tip": bands.advice(felt),
-    }
-    body = "\n".join(_ALERT_INDENT + line if line else "" for line in _ALERT_LINES)
-    names = [part.split("}")[0] for part in body.split("{")[1:]]
-    template = body
-    for name in names:
-        template = template.replace("{" + name + "}", "%s")
-    return F.format_string("\n" + template + "\n" + " " * 8, *[fields[n] for n in names])
+    return F.format_string(
+        _ALERT, station, F.date_format(day, "dd/MM/yyyy"), tenths(actual), tenths(felt),
+        bands.advice_icon(felt), bands.signed_difference(felt, actual), bands.advice(felt))
 
 
 def alerts(subscriptions: DataFrame, forecast: DataFrame, as_of=None, *, series: str = SERIES,

@@ -1,23 +1,23 @@
-"""One-step and recursive forecasts from stored models."""
+"""One-step and recursive forecasts from stored models, and the plan that writes them all."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-import numpy as np
-import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from nimbusgrid import DATE, SERIES
 from nimbusgrid import constants as k
 from nimbusgrid.functions.bands import decision
-from nimbusgrid.functions.scalars import bounded
+from nimbusgrid.functions.scalars import bounded, cyclic, wind_components
 from nimbusgrid.operators import features as ops
+from nimbusgrid.plans import training
 from nimbusgrid.plans.training import model_features, prediction_column, score_all
-from nimbusgrid.session import staging_path
+from nimbusgrid.session import discard, staging_path
+from nimbusgrid.sources import storage
 
 REAL_COLS = ("tmed", "tmin", "tmax", "prec", "sol", "hrMedia", "velmedia")
 
@@ -35,16 +35,19 @@ def onestep_forecast(panel: DataFrame, models: Mapping[str, PipelineModel],
                               to_date=f"{year}-12-31", **keys)
     feature_cols = sorted({c for m in models.values() for c in model_features(m)}
                           & set(rows.columns))
-    # Rows whose history is incomplete cannot be scored by every tree: keep them out of the
-    # vector, not out of the result.
+    # A row without all features of a model gets no prediction of that model; the others, and the
+    # row, stay.
+    have = set(rows.columns)
     filled = rows.selectExpr(
         f"`{date}`", f"`{series}`",
-        " AND ".join(f"`{c}` IS NOT NULL" for c in feature_cols) + " AS _ready",
+        *[" AND ".join(["true", *(f"`{c}` IS NOT NULL" for c in model_features(m) if c in have)])
+          + f" AS `_ready_{t}`" for t, m in models.items()],
         *[f"`{c}` AS `real_{c}`" for c in REAL_COLS if c in rows.columns],
         *[f"coalesce(cast(`{c}` AS double), 0D) AS `{c}`" for c in feature_cols])
     names = [prediction_column(t) for t in models]
     scored = score_all(filled, models).withColumns(
-        {n: F.when(F.col("_ready"), F.col(n)) for n in names})
+        {prediction_column(t): F.when(F.col(f"_ready_{t}"), F.col(prediction_column(t)))
+         for t in models})
     moved = ops.to_valid_time(scored, names, **keys)
     out = moved.select(
         date, series, *[c for c in moved.columns if c.startswith("real_")],
@@ -58,183 +61,152 @@ def onestep_forecast(panel: DataFrame, models: Mapping[str, PipelineModel],
 
 # --- recursive rollout ---------------------------------------------------------------------
 
-def _forest(spark: SparkSession, model: PipelineModel, target: str, folder: str) -> dict:
-    """The fitted trees as arrays (tree, node); leaves point at themselves.
+def _before(c: str, days: int) -> Column:
+    """A measure ``days`` before the latest day, from its history array."""
+    return F.element_at(c, -1 - days)
 
-    Read from the stored model; its size depends on the model settings, not on the data.
-    """
-    stage = model.stages[-1]
-    nodes = spark.read.parquet(f"{folder}/{target}/stages/1_{stage.uid}/data").select(
-        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild",
-        "nodeData.rightChild", "nodeData.split.featureIndex",
-        F.get("nodeData.split.leftCategoriesOrThreshold", F.lit(0)).alias("threshold"),
-    ).toPandas()
-    shape = (int(nodes["treeID"].max()) + 1, int(nodes["id"].max()) + 1)
-    tree, node = nodes["treeID"].to_numpy(), nodes["id"].to_numpy()
-    leaf = (nodes["leftChild"] < 0).to_numpy()
-    arrays = {}
-    for name, values, kind in (
-        ("left", np.where(leaf, node, nodes["leftChild"]), np.int32),
-        ("right", np.where(leaf, node, nodes["rightChild"]), np.int32),
-        ("feature", np.where(leaf, 0, nodes["featureIndex"]), np.int32),
-        ("threshold", np.where(leaf, 0.0, nodes["threshold"].fillna(0.0)), np.float64),
-        ("value", nodes["prediction"].to_numpy(), np.float64),
-    ):
-        arrays[name] = np.zeros(shape, dtype=kind)
-        arrays[name][tree, node] = values
-    return {**arrays, "weights": np.array(stage.treeWeights, dtype=float),
-            "depth": max(t.depth for t in stage.trees), "names": model_features(model)}
-
-
-def _predict(forest: dict, x: np.ndarray, cells: int = 1_000_000) -> np.ndarray:
-    """Weighted sum of the leaf values, walking all trees for many rows level by level.
-
-    Rows are taken in slices of about ``cells`` (row, tree) pairs, which bounds the memory used.
-    """
-    trees = np.arange(len(forest["weights"]))[None, :]
-    out = np.empty(len(x))
-    size = max(1, cells // trees.shape[1])
-    for low in range(0, len(x), size):
-        part = x[low:low + size]
-        rows = np.arange(len(part))[:, None]
-        at = np.zeros((len(part), trees.shape[1]), dtype=np.int32)
-        for _ in range(forest["depth"]):
-            left = part[rows, forest["feature"][trees, at]] <= forest["threshold"][trees, at]
-            at = np.where(left, forest["left"][trees, at], forest["right"][trees, at])
-        out[low:low + size] = forest["value"][trees, at] @ forest["weights"]
-    return out
-
-
-def _feature(name: str, past: dict[str, np.ndarray], now: dict[str, np.ndarray]) -> np.ndarray:
-    """One feature of the latest day from the history arrays (series, day)."""
-    if name in now:
-        return now[name]
-    if name in past:
-        return past[name][:, -1]
-    stem, _, tail = name.rpartition("_")
-    base, _, kind = stem.rpartition("_")
-    if kind == "lag" and base in past:
-        return past[base][:, -1 - int(tail)]
-    if kind == "roll" and base in past:
-        return past[base][:, -int(tail):].mean(axis=1)
-    if tail == "trend" and stem in past:
-        return past[stem][:, -2] - past[stem][:, -3]
-    return np.zeros(len(next(iter(past.values()))))
 
+def _past(c: str, days: int, measures: set[str]) -> Column | None:
+    """A measure or a column derived from measures, ``days`` before the latest day."""
+    if c in measures:
+        return _before(c, days)
+    if c in ("wind_sin", "wind_cos") and "dir" in measures:
+        return wind_components(_before("dir", days))[c]
+    if c == "presion_diff" and "presion" in measures:
+        return _before("presion", days) - _before("presion", days + 1)
+    if c == "cloud_moisture" and {"nubes", "hrMedia"} <= measures:
+        return _before("nubes", days) * _before("hrMedia", days)
+    return None
 
-def _derived_history(past: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    extra = {}
-    if "dir" in past:
-        clean = np.where(np.isnan(past["dir"]) | (past["dir"] == 99), 0.0, past["dir"])
-        extra["wind_sin"], extra["wind_cos"] = np.sin(np.radians(clean)), np.cos(np.radians(clean))
-    if "presion" in past:
-        extra["presion_diff"] = np.diff(past["presion"], axis=1, prepend=np.nan)
-    if "nubes" in past and "hrMedia" in past:
-        extra["cloud_moisture"] = past["nubes"] * past["hrMedia"]
-    return {**past, **extra}
+
+def _latest_feature(name: str, measures: set[str], current: Mapping[str, Column]) -> Column:
+    """One feature of the latest day; 0 if nothing can derive it, as in scoring."""
+    value = current.get(name, _past(name, 0, measures))
+    stem, _, tail = name.rpartition("_")
+    base, _, kind = stem.rpartition("_")
+    if value is None and kind == "lag":
+        value = _past(base, int(tail), measures)
+    if value is None and kind == "roll" and base in measures:
+        days = [_past(base, d, measures) for d in range(int(tail))]
+        value = sum(days[1:], days[0]) / len(days)
+    if value is None and tail == "trend" and stem in measures:
+        value = _past(stem, 1, measures) - _past(stem, 2, measures)
+    missing = F.lit(0.0) if value is None else value.cast("double")
+    return F.coalesce(missing, F.lit(float("nan")))  # trees send both unknown and NaN right
 
 
-def _calendar(days: pd.DatetimeIndex) -> dict[str, np.ndarray]:
-    month, day = 2 * np.pi * days.month / 12, 2 * np.pi * days.dayofyear / 365.0
-    return {"month_sin": np.sin(month).to_numpy(), "month_cos": np.cos(month).to_numpy(),
-            "day_sin": np.sin(day).to_numpy(), "day_cos": np.cos(day).to_numpy()}
+def _one_day_model(model: PipelineModel, target: str):
+    """The fitted trees with columns of their own, so that all targets score side by side."""
+    trees = model.stages[-1].copy().setFeaturesCol(f"_x_{target}").setPredictionCol(f"_p_{target}")
+    if target == "rain":
+        trees = trees.setProbabilityCol("_probability").setRawPredictionCol("_raw")
+    return trees
 
 
 def recursive_forecast(history: DataFrame, models: Mapping[str, PipelineModel],
                        start: str = f"{k.TARGET_YEAR}-01-01", horizon: int = k.HORIZON_DAYS, *,
                        rain_threshold: float = k.ROLLOUT_RAIN_THRESHOLD,
-                       rain_mm: float = k.ROLLOUT_RAIN_MM, folder: str | None = None,
+                       rain_mm: float = k.ROLLOUT_RAIN_MM, stage_every: int = 8,
                        partitions: int | None = None, series: str = SERIES,
                        date: str = DATE) -> DataFrame:
     """Forecast ``horizon`` days from ``start``, feeding each day's predictions into the next.
 
-    Given the models, series do not depend on each other.  Spark reduces the panel to one row
-    per series (its last days as arrays, at most ``HISTORY_DAYS`` + 1 entries), spreads these
-    rows, and each task steps through the days for a whole Arrow batch of series at once.
-    Variables no model predicts are carried forward; ``_est`` flags of predicted days are 1.
-    ``folder`` is where the models are stored; without it they are saved to the shared folder.
+    Series do not depend on each other: each is one row with its last days as arrays, and a day
+    is a projection (features from the arrays, the fitted models, the arrays moved on), so no day
+    shuffles.  Every ``stage_every`` days the rows are written to the shared folder, which bounds
+    the plan and is where a lost task starts again.  Variables no model predicts are carried
+    forward; ``_est`` flags of predicted days are 1.  The rollout runs when this is called.
     """
     spark = history.sparkSession
-    if folder is None:
-        folder = staging_path(spark, "models")
-        for target, model in models.items():
-            model.write().overwrite().save(f"{folder}/{target}")
-    forests = spark.sparkContext.broadcast(
-        {t: _forest(spark, m, t, folder) for t, m in models.items()})
-
     past_rows = ops.trailing_history(
         history.filter(F.col(date) < F.lit(start).cast("date")), date=date)
     statics = [c for c in ("nombre", "provincia", "altitud", "station_id")
                if c in history.columns]
     flags = [c for c in history.columns if c.endswith("_est") or c == "_quality_score"]
-    wanted = [*k.LAG_COLS, *k.PERSISTED_COLS]
-    measures = [c for c in ops.unique_columns(wanted) if c in history.columns]
-    depth = ops.EVERYTHING.reach + 1
+    measures = [c for c in ops.unique_columns([*k.LAG_COLS, *k.PERSISTED_COLS])
+                if c in history.columns]
+    depth, known = ops.EVERYTHING.reach + 1, set(measures)
 
     rows = F.sort_array(F.collect_list(F.struct(date, *measures, *flags, *statics)))
-    packed = past_rows.groupBy(series).agg(rows.alias("_rows")).select(
-        series, F.slice("_rows", -F.least(F.size("_rows"), F.lit(depth)),
-                        F.lit(depth)).alias("_rows"))
+    packed = past_rows.groupBy(series).agg(rows.alias("_rows"))
     latest = F.element_at("_rows", -1)
+
+    def window(c: str) -> Column:
+        """The last ``depth`` values, short histories padded in front."""
+        values = F.col(f"_rows.{c}").cast("array<double>")
+        return F.slice(F.concat(F.array_repeat(F.lit(None).cast("double"), depth), values),
+                       -depth, depth)
+
+    # A fixed count: the rows are few and small, but each is a long computation.
     state = packed.select(
-        series, latest[date].alias("_last"),
-        *[F.col(f"_rows.{c}").cast("array<double>").alias(c) for c in measures],
+        series, latest[date].alias("_last"), F.lit(start).cast("date").alias("_day"), *[window(c).alias(c) for c in measures],
         *[latest[c].cast("double").alias(c) for c in flags],
-        *[latest[c].alias(c) for c in statics])
-    tasks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # A fixed count: the rows are few and small, but each is a long computation.
-    state = state.repartition(tasks, series)
+        *[latest[c].alias(c) for c in statics],
+    ).repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), series)
 
     targets = [t for t in models if t != "rain"]
     carried = [c for c in k.PERSISTED_COLS if c not in targets]
-    fields = [T.StructField(date, T.DateType())]
-    fields += [T.StructField(c, history.schema[c].dataType) for c in (series, *statics)]
-    fields += [T.StructField(c, T.DoubleType()) for t in targets for c in (t, f"pred_{t}")]
+    trees = {t: _one_day_model(m, t) for t, m in models.items()}
+    # The day is a column and all expressions are made once: every stretch of days has the same
+    # plan and compiled code.
+    current = {c: F.col(c) for c in (*flags, "station_id", "altitud") if c in (*flags, *statics)}
+    current |= cyclic(F.col("_last"))
+    names = {t: model_features(m) for t, m in models.items()}
+    values = {f"_f_{n}": _latest_feature(n, known, current)
+              for n in ops.unique_columns(*names.values())}
+    vectors = {f"_x_{t}": array_to_vector(F.array(*[F.col(f"_f_{n}") for n in ns]))
+               for t, ns in names.items()}
+    fresh = {t: bounded(F.col(f"_p_{t}"), *k.PREDICTION_BOUNDS.get(t, (None, None)))
+             for t in targets}
+    shown = [F.col("_day").alias(date), *[c for t in targets for c in (
+        fresh[t].alias(t), fresh[t].alias(f"pred_{t}"))]]
     if "rain" in models:
-        fields += [T.StructField(c, T.DoubleType()) for c in ("prec", "prob_rain")]
-    fields += [T.StructField(c, T.DoubleType()) for c in carried]
-    schema = T.StructType(fields)
-    days = pd.date_range(start, periods=horizon, freq="D")
-
-    def window(cells: pd.Series) -> np.ndarray:
-        """The last ``depth`` values of each series, short histories padded in front."""
-        out = np.full((len(cells), depth), np.nan)
-        for i, values in enumerate(cells):
-            out[i, depth - len(values):] = values
-        return out
-
-    def roll(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            past = {c: window(batch[c]) for c in measures}
-            now = {c: batch[c].to_numpy(dtype=float) for c in flags}
-            for c in ("station_id", "altitud"):
-                if c in statics:
-                    now[c] = pd.to_numeric(batch[c], errors="coerce").to_numpy(dtype=float)
-            seen = pd.DatetimeIndex(pd.to_datetime(batch["_last"]))
-            for day in days:
-                known = _derived_history(past)
-                current = {**now, **_calendar(seen)}
-                fresh: dict[str, np.ndarray] = {}
-                out = {date: np.full(len(batch), day.date()), series: batch[series].to_numpy()}
-                out.update({c: batch[c].to_numpy() for c in statics})
-                for target, forest in forests.value.items():
-                    x = np.column_stack([_feature(n, known, current) for n in forest["names"]])
-                    value = _predict(forest, x)
-                    if target == "rain":
-                        value = 1.0 / (1.0 + np.exp(-2.0 * value))
-                        fresh["prec"] = np.where(value > rain_threshold, rain_mm, 0.0)
-                        out["prob_rain"] = value
-                    else:
-                        low, high = k.PREDICTION_BOUNDS.get(target, (-np.inf, np.inf))
-                        fresh[target] = np.clip(value, low, high)
-                        out[f"pred_{target}"] = fresh[target]
-                for c in carried:
-                    fresh[c] = past[c][:, -1] if c in past else np.zeros(len(batch))
-                out.update(fresh)
-                yield pd.DataFrame(out)[schema.names]
-                past = {c: np.column_stack([past[c][:, 1:], fresh.get(
-                    c, np.full(len(batch), np.nan))]) for c in measures}
-                now.update({c: np.ones(len(batch)) for c in flags})
-                seen = pd.DatetimeIndex(np.full(len(batch), day))
-
-    return state.mapInPandas(roll, schema)
+        chance = vector_to_array("_probability")[1]
+        fresh["prec"] = F.when(chance > rain_threshold, rain_mm).otherwise(0.0)
+        shown += [fresh["prec"].alias("prec"), chance.alias("prob_rain")]
+    fresh |= {c: _before(c, 0) if c in known else F.lit(0.0) for c in carried}
+    shown += [fresh[c].alias(c) for c in carried]
+    nothing = F.lit(None).cast("double")
+    moved = [F.col(series), F.col("_day").alias("_last"), F.date_add("_day", 1).alias("_day"),
+             *[F.concat(F.slice(c, 2, depth - 1), F.array(fresh.get(c, nothing))).alias(c)
+               for c in measures],
+             *[F.lit(1.0).alias(c) for c in flags], *[F.col(c) for c in statics]]
+
+    paths, day_rows = [], []
+    for step in range(horizon):
+        state = state.withColumns(values).withColumns(vectors)
+        for t in models:
+            state = trees[t].transform(state)
+        state = state.select(*moved, *day_rows, F.struct(*shown).alias(f"_day_{len(day_rows)}"))
+        day_rows.append(f"_day_{len(day_rows)}")
+        if len(day_rows) == stage_every or step == horizon - 1:
+            paths.append(staging_path(spark, "rollout"))
+            state.withColumn("_days", F.array(*day_rows)).drop(*day_rows).write.parquet(paths[-1])
+            state, day_rows = spark.read.parquet(paths[-1]).drop("_days"), []
+    rolled = spark.read.parquet(*paths).select(series, *statics, F.inline("_days"))
+    return rolled.select(date, series, *statics, *[
+        c for c in rolled.columns if c not in (date, series, *statics)])
+
+
+def publish(panel: DataFrame, folder: str, *, val_start: str = k.VAL_START_DATE,
+            test_start: str = k.TEST_START_DATE, year: int = k.TARGET_YEAR,
+            horizon: int = k.HORIZON_DAYS, series: str = SERIES, date: str = DATE,
+            **options) -> None:
+    """Train every target and write models, feature frame and the three forecasts to ``folder``.
+
+    Readers of a forecast scan the stored tables; nothing is computed again for them.
+    """
+    keys = {"series": series, "date": date}
+    spark = panel.sparkSession
+    models, frame = training.train(panel, val_start=val_start, test_start=test_start, **keys,
+                                   **options)
+    training.save_models(models, f"{folder}/models")
+    storage.write_table(frame, f"{folder}/features", sort_by=(series, date))
+    storage.write_table(training.final_forecast(frame, models, **keys), f"{folder}/final",
+                        sort_by=(series, date))
+    storage.write_table(onestep_forecast(panel, models, year, **keys), f"{folder}/onestep",
+                        sort_by=(series, date))
+    rolled = recursive_forecast(panel, models, test_start, horizon, **keys)
+    parts = {f.rsplit("/", 1)[0] for f in rolled.inputFiles()}
+    storage.write_table(rolled, f"{folder}/recursive", sort_by=(series, date))
+    discard(spark, *parts)

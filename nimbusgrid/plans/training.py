@@ -13,7 +13,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,13 +64,14 @@ def target_features(panel: DataFrame, target: str, *, series: str = SERIES,
 def training_frame(panel: DataFrame, targets: Sequence[str] = k.TARGETS, *,
                    val_start: str = k.VAL_START_DATE, test_start: str = k.TEST_START_DATE,
                    series: str = SERIES, date: str = DATE) -> DataFrame:
-    """Complete feature rows with ``split`` and one ``label_{target}`` column each.
+    """Rows whose features are complete, with ``split`` and one ``label_{target}`` column each.
 
     One frame serves every target: the feature sets differ only in columns, and the rows lost to
     warm-up are those of the longest window, which all sets share.
     """
     keys = {"series": series, "date": date}
-    rows = ops.build_features(panel, ops.EVERYTHING, **keys).na.drop("any")
+    used = ops.unique_columns(*[target_features(panel, t, **keys) for t in targets])
+    rows = ops.build_features(panel, ops.EVERYTHING, **keys).na.drop("any", subset=used)
     rows = ops.add_split(rows, val_start, test_start, date=date)
     return rows.select("*", *[
         (ops.next_day_rain(**keys) if t == "rain" else ops.next_day_target(t, **keys))
@@ -78,32 +79,37 @@ def training_frame(panel: DataFrame, targets: Sequence[str] = k.TARGETS, *,
 
 
 def booster(target: str, label: str, settings: Mapping[str, float] | None = None, *,
-            max_iter: int | None = None, seed: int = 42):
+            max_iter: int | None = None, max_bins: int = 255, tolerance: float = 0.0,
+            seed: int = 42):
     """The gradient-boosted estimator with the target's settings.
 
     Trees grow level by level here, so the depth is capped by what the leaf count allows.
+    Boosting ends after ``max_iter`` rounds, or with the first round that lowers the validation
+    error by no more than ``tolerance`` of it: at 0.0, when the error rises.
     """
     s = dict(settings or k.BOOSTING[target])
     rounds = max_iter or (3000 if s["learning_rate"] < 0.03 else 1500)
     kind = GBTClassifier if target == "rain" else GBTRegressor
     return kind(
         labelCol=label, featuresCol="features", validationIndicatorCol="is_validation",
-        stepSize=s["learning_rate"], maxIter=rounds,
+        stepSize=s["learning_rate"], maxIter=rounds, maxBins=max_bins, validationTol=tolerance,
         maxDepth=min(s["max_depth"], math.ceil(math.log2(s["num_leaves"]))),
         minInstancesPerNode=s["min_child_samples"],
         featureSubsetStrategy=str(s["feature_fraction"]), seed=seed)
 
 
-def fit_target(frame: DataFrame, target: str, names: Sequence[str], **options) -> PipelineModel:
-    """Fit on train rows, stopping early on val rows; rows without a label are left out."""
+def fit_target(frame: DataFrame, target: str, names: Sequence[str], *, partitions: int = 16,
+               series: str = SERIES, date: str = DATE, **options) -> PipelineModel:
+    """Fit on train rows, stopping early on val rows; rows without a label are left out.
+
+    Rows are dealt by (series, date) to ``partitions``, so a fit depends neither on the number of
+    cores nor on that of files; raise it with the number of rows.
+    """
     shared_folder(frame.sparkSession)  # boosting checkpoints its long lineage there
     label = f"label_{target}"
-    cores = frame.sparkSession.sparkContext.defaultParallelism
     rows = (frame.filter(F.col("split").isin("train", "val") & F.col(label).isNotNull())
+            .repartition(partitions, series, date).sortWithinPartitions(series, date)
             .select(*names, label, (F.col("split") == "val").alias("is_validation")))
-    if rows.rdd.getNumPartitions() < cores:
-        # Boosting reads its rows many times: use every core on a small frame too.
-        rows = rows.repartition(cores)
     assembler = VectorAssembler(inputCols=list(names), outputCol="features",
                                 handleInvalid="error")
     return Pipeline(stages=[assembler, booster(target, label, **options)]).fit(rows)
@@ -129,20 +135,30 @@ def score_all(frame: DataFrame, models: Mapping[str, PipelineModel]) -> DataFram
     return reduce(lambda df, item: score(df, *item), models.items(), frame)
 
 
-def evaluate(frame: DataFrame, target: str, model: PipelineModel) -> DataFrame:
-    """One row of train/test scores and the fit status."""
-    label = f"label_{target}"
-    scored = score(frame.filter(F.col(label).isNotNull() & F.col("split").isin("train", "test")),
-                   target, model, name="_p").select("split", label, "_p")
-    if target == "rain":
-        per_split = roc_auc(scored, label, "_p", by=["split"])
-        wide = per_split.agg(*[F.max(F.when(F.col("split") == s, F.col("roc_auc")))
-                               .alias(f"auc_{s}") for s in ("train", "test")])
-    else:
-        per_split = regression_metrics(scored, {target: (label, "_p")}, by=["split"])
-        wide = per_split.agg(*[F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{m}_{s}")
-                               for m in ("mae", "r2") for s in ("train", "test")])
-    return fit_status(wide, target == "rain").withColumn("target", F.lit(target))
+def evaluate(frame: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
+    """One row per target: train and test scores and the fit status.
+
+    All targets are scored in one pass over the train and test rows, whose scores are staged.
+    """
+    rows = frame.filter(F.col("split").isin("train", "test"))
+    scored = stage(score_all(rows, models).select(
+        "split", *[c for t in models for c in (f"label_{t}", prediction_column(t))]), "scored")
+    parts, plain = [], [t for t in models if t != "rain"]
+
+    def wide(measures: Sequence[str]) -> list[Column]:
+        return [F.max(F.when(F.col("split") == s, F.col(m))).alias(f"{m}_{s}".replace("roc_", ""))
+                for m in measures for s in ("train", "test")]
+
+    if plain:
+        scores = regression_metrics(scored, {t: (f"label_{t}", prediction_column(t)) for t in plain},
+                                    by=["split"])
+        parts.append(fit_status(scores.groupBy("target").agg(*wide(("mae", "r2"))), False))
+    if "rain" in models:
+        scores = roc_auc(scored.filter(F.col("label_rain").isNotNull()), "label_rain", "prob_rain",
+                         by=["split"])
+        parts.append(fit_status(scores.agg(*wide(("roc_auc",))), True)
+                     .withColumn("target", F.lit("rain")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def save_models(models: Mapping[str, PipelineModel], folder: str) -> None:
@@ -181,7 +197,7 @@ def train(panel: DataFrame, targets: Sequence[str] = k.TARGETS, *, val_start=k.V
                                  **keys), "features")
     names = {t: target_features(panel, t, **keys) for t in targets}
     fit = inheritable_thread_target(panel.sparkSession)(
-        lambda t: fit_target(frame, t, names[t], **options))
+        lambda t: fit_target(frame, t, names[t], **keys, **options))
     with ThreadPool(max(1, parallel)) as pool:
         models = dict(zip(targets, pool.map(fit, targets)))
     return models, frame

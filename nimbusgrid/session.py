@@ -41,3 +41,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Remove staged folders that nothing reads any more."""
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -64,20 +64,31 @@ def compact(landed: DataFrame, *, series: str = SERIES, date: str = DATE) -> Dat
     return keep_first(landed, [series, "year", date], [F.desc("batch_id"), F.desc("position")])
 
 
+def between(rows: DataFrame, column: str, like: DataFrame) -> DataFrame:
+    """``rows`` cut to the range of ``column`` in ``like``: constants, so they prune a partitioned scan."""
+    low, high = like.agg(F.min(column), F.max(column)).first()
+    return rows.filter(F.col(column).between(F.lit(low), F.lit(high)))
+
+
 def consolidate(spark: SparkSession, landing: str, master: str, *,
-                include_existing: bool = False, remove_parts: bool = True,
+                include_existing: bool = True, remove_parts: bool = True,
                 series: str = SERIES, date: str = DATE) -> None:
     """Compact the landing table into yearly masters and drop the parts that went in.
 
-    Only the years present in the landing table are rewritten.  The result is staged before the
-    overwrite, so a failed run can be repeated; parts that land meanwhile are left for the next.
+    Landed records win over those of the master on the same day.  Without ``include_existing`` the
+    landed (series, year) pairs are replaced as a whole; all other pairs of those years stay either
+    way.  Only the years between the first and the last landed are read and rewritten.  The result
+    is staged before the overwrite, so a failed run can be repeated; parts that land meanwhile are
+    left for the next, and without any part nothing happens.
     """
+    if not storage.has_files(spark, landing):
+        return
     landed = spark.read.parquet(landing)
     parts = landed.inputFiles()
-    if include_existing and storage.path_exists(spark, master):
-        # At most one row per calendar year: small whatever the data, and it prunes the scan.
-        years = F.broadcast(landed.select("year").distinct())
-        known = spark.read.parquet(master).join(years, "year", "left_semi")
+    if storage.has_files(spark, master):
+        known = between(spark.read.parquet(master), "year", landed)
+        if not include_existing:
+            known = known.join(landed.select(series, "year").distinct(), [series, "year"], "left_anti")
         known = known.withColumns({"batch_id": F.lit(""), "position": F.lit(0).cast("bigint")})
         landed = landed.unionByName(known, allowMissingColumns=True)
     result = stage(compact(landed, series=series, date=date).drop("batch_id", "position"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +24,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists and holds at least one Parquet file, at any depth."""
+    fs, target = _filesystem(spark, path)
+    if not fs.exists(target):
+        return False
+    found = fs.listFiles(target, True)
+    while found.hasNext():
+        if found.next().getPath().getName().endswith(".parquet"):
+            return True
+    return False
+
+
 def delete_files(spark: SparkSession, files: Sequence[str]) -> None:
     """Delete the named files, as a DataFrame lists its inputs, and nothing else."""
     jvm = spark.sparkContext._jvm
@@ -61,11 +72,6 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     stage(df, "replace").write.mode("overwrite").format(fmt).save(path)
 
 
-def cached(df: DataFrame) -> DataFrame:
-    """Keep a frame that several actions read; spills to disk, recomputed if an executor goes."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def year_between(date: str, first: int, last: int | None = None):
     """Year predicate as a date range, so it reaches the scan."""
     return F.col(date).between(F.lit(f"{first}-01-01").cast("date"),

@@ -12,6 +12,7 @@ from nimbusgrid import constants as k
 from nimbusgrid.operators.panel import keep_first
 from nimbusgrid.session import stage
 from nimbusgrid.sources import records, storage
+from nimbusgrid.sources.landing import between
 
 
 def record_stream(spark: SparkSession, path: str, start: str = k.START_DATE) -> DataFrame:
@@ -27,6 +28,12 @@ def land(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
             .trigger(availableNow=True).start(path))
 
 
+def master_part(spark: SparkSession, master: str, batch: DataFrame, partition_by: str) -> DataFrame:
+    """The master's rows in the partitions that ``batch`` touches; others are not read."""
+    known = between(spark.read.schema(batch.schema).parquet(master), partition_by, batch)
+    return known.join(batch.select(partition_by).distinct(), partition_by, "left_semi")
+
+
 def compact_into(stream: DataFrame, master: str, checkpoint: str, *, keys: Sequence[str],
                  newest_first: Sequence[str], partition_by: str) -> StreamingQuery:
     """Keep the newest row per key in a partitioned master table.
@@ -36,12 +43,11 @@ def compact_into(stream: DataFrame, master: str, checkpoint: str, *, keys: Seque
     """
     spark = stream.sparkSession
 
-    def merge(batch: DataFrame, _: int) -> None:
+    def merge(arrived: DataFrame, _: int) -> None:
+        batch = stage(arrived, "arrived")  # read twice below
         rows = batch
-        if storage.path_exists(spark, master):
-            touched = batch.select(partition_by).distinct()
-            known = spark.read.schema(batch.schema).parquet(master)
-            rows = batch.unionByName(known.join(touched, partition_by, "left_semi"))
+        if storage.has_files(spark, master):
+            rows = batch.unionByName(master_part(spark, master, batch, partition_by))
         newest = keep_first(rows, keys, [F.desc(c) for c in newest_first])
         (stage(newest, "merge").repartitionByRange(partition_by, *keys)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

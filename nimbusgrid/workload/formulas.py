@@ -135,7 +135,7 @@ def apparent_temperature(spark: SparkSession, sf: str) -> DataFrame:
     WHEN pred_sol > 8 THEN 'sunny' WHEN pred_sol > 4 THEN 'partly_cloudy' ELSE 'cloudy' END AS icon,
   CASE WHEN felt < 5 THEN 'Bundle up, it''s very cold!' WHEN felt < 15 THEN 'Wear a jacket, it''s chilly.'
     WHEN felt < 25 THEN 'Pleasant weather, enjoy it!' ELSE 'It''s hot, stay hydrated!' END AS advice,
-  CASE WHEN felt - t = 0 THEN 'same' ELSE printf('%+.1f', round_even((felt - t) * 10, 0) / 10) || '°C' END
+  CASE WHEN felt - t = 0 THEN 'same' ELSE printf('%+.1f', felt - t) || '°C' END
     AS difference,
   CASE WHEN rainbow >= 60 THEN 'HIGH' WHEN rainbow >= 30 THEN 'MEDIUM' ELSE 'LOW' END AS rainbow_band,
   CASE WHEN hr > 70 THEN 'High' WHEN hr > 40 THEN 'Medium' ELSE 'Low' END AS humidity_band,

@@ -1,4 +1,8 @@
-"""Learning and forecasting queries: no SQL equivalent, checked by tests."""
+"""Learning and forecasting queries.
+
+One run of the publishing plan per data folder trains the models and writes the forecasts; the
+queries read its tables, as readers of a forecast do.
+"""
 
 from __future__ import annotations
 
@@ -14,74 +18,67 @@ from nimbusgrid.session import stage, staging_path
 from nimbusgrid.workload.panels import station_panel
 from nimbusgrid.workload.registry import query
 
-_VAL, _TEST = "2000-01-01", "2001-01-01"
-_ROUNDS = 3
-_STORES: dict[tuple[str, str], tuple[str, DataFrame, DataFrame]] = {}
+VAL, TEST, YEAR = "2000-01-01", "2001-01-01", 2001
+#: Days from the start of the test span to the end of the panel.
+HORIZON = 212
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
 
+def published(spark: SparkSession, sf: str) -> str:
+    """Folder of the panel, models and forecasts of a data folder, written once per application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PUBLISHED:
+        folder = staging_path(spark, "published")
+        panel = station_panel(spark, sf)
+        panel = training.with_ids(panel, label_series(panel))
+        panel.write.parquet(f"{folder}/panel")
+        forecast.publish(spark.read.parquet(f"{folder}/panel"), folder, val_start=VAL,
+                         test_start=TEST, year=YEAR, horizon=HORIZON, parallel=7)
+        _PUBLISHED[key] = folder
+    return _PUBLISHED[key]
 
-def _labelled_panel(spark: SparkSession, sf: str) -> DataFrame:
-    panel = stage(station_panel(spark, sf, min_coverage=0.02), "panel")
-    return training.with_ids(panel, label_series(panel))
 
+def _stored(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{published(spark, sf)}/{name}")
 
-def _store(spark: SparkSession, sf: str) -> tuple[str, DataFrame, DataFrame]:
-    """Model folder, panel and feature frame of a data folder, fitted once per application."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _STORES:
-        panel = _labelled_panel(spark, sf)
-        models, frame = training.train(panel, val_start=_VAL, test_start=_TEST,
-                                       max_iter=_ROUNDS, parallel=7)
-        folder = staging_path(spark, "models")
-        training.save_models(models, folder)
-        _STORES[key] = folder, panel, frame
-    return _STORES[key]
+
+def _models(spark: SparkSession, sf: str):
+    return training.load_models(spark, f"{published(spark, sf)}/models")
 
 
 @query()
 def fitted_models(spark: SparkSession, sf: str) -> DataFrame:
     """Scores and fit status of each model on train and test rows."""
-    folder, _, frame = _store(spark, sf)
-    models = training.load_models(spark, folder)
-    rows = [training.evaluate(frame, t, models[t]) for t in models]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return training.evaluate(_stored(spark, sf, "features"), _models(spark, sf))
 
 
 @query()
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    folder, _, _ = _store(spark, sf)
-    models = training.load_models(spark, folder)
     return reduce(DataFrame.unionByName, [
-        training.feature_importance(spark, t, m) for t, m in models.items()])
+        training.feature_importance(spark, t, m) for t, m in _models(spark, sf).items()])
 
 
 @query()
 def final_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    folder, _, frame = _store(spark, sf)
-    return training.final_forecast(frame, training.load_models(spark, folder))
+    return _stored(spark, sf, "final")
 
 
 @query()
 def onestep_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    folder, panel, _ = _store(spark, sf)
-    return forecast.onestep_forecast(panel, training.load_models(spark, folder), 2001)
-
-
-def _recursive(spark: SparkSession, sf: str) -> DataFrame:
-    folder, panel, _ = _store(spark, sf)
-    return forecast.recursive_forecast(panel, training.load_models(spark, folder), _TEST, 60,
-                                       folder=folder)
+    return _stored(spark, sf, "onestep")
 
 
 @query()
 def recursive_forecast(spark: SparkSession, sf: str) -> DataFrame:
-    _, panel, _ = _store(spark, sf)
-    return joins.with_actuals(_recursive(spark, sf), panel, ["tmed", "tmin", "tmax"])
+    return joins.with_actuals(_stored(spark, sf, "recursive"), _stored(spark, sf, "panel"),
+                              ["tmed", "tmin", "tmax"])
 
 
 @query()
 def forecast_report(spark: SparkSession, sf: str) -> DataFrame:
     """One-step against recursive errors per target."""
-    compared = metrics.comparative_frame(onestep_forecast(spark, sf), _recursive(spark, sf))
+    compared = metrics.comparative_frame(_stored(spark, sf, "onestep"),
+                                         _stored(spark, sf, "recursive"))
     return metrics.degradation_table(stage(compared, "compared"),
                                      [t for t in k.TARGETS if t != "rain"])
 

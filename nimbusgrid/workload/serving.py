@@ -218,7 +218,7 @@ def alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""WITH {_INDEXED_SQL}, {_SUBSCRIPTIONS_SQL},
-a AS (SELECT *, round_even((pred_windchill - pred_tmed) * 10, 0) / 10 AS gap,
+a AS (SELECT *, pred_windchill - pred_tmed AS gap,
     CASE WHEN pred_windchill < 5 THEN 1 WHEN pred_windchill < 15 THEN 2
       WHEN pred_windchill < 25 THEN 3 ELSE 4 END AS band
   FROM subs JOIN indexed ON station_code = indicativo AND fecha = DATE '{_DAY}')
@@ -226,7 +226,7 @@ SELECT telegram_id, chr(10) || repeat(' ', 12) || '<b>🌡️ Wind Chill Notific
   || repeat(' ', 12) || '📍 <b>Station:</b> ' || station_name || chr(10)
   || repeat(' ', 12) || '📅 <b>Date:</b> ' || strftime(fecha, '%d/%m/%Y') || chr(10)
   || repeat(' ', 12) || '🕗 <b>Time:</b> 07:00 AM' || chr(10) || chr(10)
-  || repeat(' ', 12) || '🌡️ <b>Actual temperature:</b> ' || printf('%.1f', round_even(pred_tmed * 10, 0) / 10) || '°C' || chr(10)
+  || repeat(' ', 12) || '🌡️ <b>Actual temperature:</b> ' || printf('%.1f', pred_tmed) || '°C' || chr(10)
   || repeat(' ', 12) || '🎚️ <b>Wind chill:</b> ' || printf('%.1f', pred_windchill) || '°C '
   || CASE band WHEN 1 THEN '❄️' WHEN 2 THEN '🌬️' WHEN 3 THEN '😊' ELSE '🔥' END || chr(10)
   || repeat(' ', 12) || '📊 <b>Difference:</b> '

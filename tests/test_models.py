@@ -78,9 +78,22 @@ def test_models_beat_simple_baselines(trained):
 
 def test_evaluate(trained):
     models, frame, _ = trained
-    row = training.evaluate(frame, "rain", models["rain"]).first()
-    assert 0.5 < row.auc_test <= 1 and row.status in ("good fit", "overfitting", "underfitting")
-    assert training.evaluate(frame, "tmed", models["tmed"]).first().mae_train > 0
+    rows = {r.target: r for r in training.evaluate(frame, models).collect()}
+    assert set(rows) == set(models)
+    assert 0.5 < rows["rain"].auc_test <= 1 and rows["rain"].status in ("good fit", "overfitting", "underfitting")
+    assert rows["tmed"].mae_train > 0 and rows["tmed"].auc_test is None
+
+
+def test_fit_keeps_trees_until_validation_error_rises(panel, trained):
+    """With the settings' rounds: many trees, and the one after the last would not have helped."""
+    _, frame, _ = trained
+    names = training.target_features(panel, "tmed")
+    model = training.fit_target(frame, "tmed", names, max_iter=60)
+    gbt = model.stages[-1]
+    assert gbt.getNumTrees > 8
+    val = model.stages[0].transform(frame.filter("split = 'val' and label_tmed is not null"))
+    errors = gbt.evaluateEachIteration(val, "squared")
+    assert errors[-1] == min(errors) and all(b <= a for a, b in zip(errors, errors[1:]))
 
 
 def test_saved_models_load(spark, trained):
@@ -123,8 +136,8 @@ def test_onestep_needs_one_shuffle(panel, trained):
 
 
 def test_rollout_first_step_equals_onestep(panel, trained):
-    models, _, folder = trained
-    out = forecast.recursive_forecast(panel, models, TEST, 40, folder=folder).cache()
+    models, _, _ = trained
+    out = forecast.recursive_forecast(panel, models, TEST, 40).cache()
     assert out.count() == 6 * 40
     onestep = forecast.onestep_forecast(panel, models, 2021).filter(F.col("fecha") == F.lit(TEST).cast("date"))
     pairs = out.filter(F.col("fecha") == F.lit(TEST).cast("date")).join(
@@ -138,8 +151,8 @@ def test_rollout_first_step_equals_onestep(panel, trained):
 
 def test_rollout_feeds_back(spark, panel, trained):
     """Second step: append the first prediction as a row, rebuild the features with Spark, score."""
-    models, _, folder = trained
-    out = forecast.recursive_forecast(panel, models, TEST, 2, folder=folder)
+    models, _, _ = trained
+    out = forecast.recursive_forecast(panel, models, TEST, 2)
     day1, day2 = (out.filter(F.col("fecha") == F.lit(d).cast("date")) for d in (TEST, "2021-07-02"))
     history = panel.filter(F.col("fecha") < F.lit(TEST).cast("date"))
     # Targets without a model stay missing in the rollout; only fed-back and carried columns are set.
@@ -162,9 +175,9 @@ def test_rollout_feeds_back(spark, panel, trained):
 
 
 def test_rollout_with_short_history(panel, trained):
-    models, _, folder = trained
+    models, _, _ = trained
     short = panel.filter((F.col("indicativo") != "S0") | (F.col("fecha") >= F.lit("2021-06-28").cast("date")))
-    out = forecast.recursive_forecast(short, models, TEST, 3, folder=folder)
+    out = forecast.recursive_forecast(short, models, TEST, 3)
     assert out.filter("indicativo = 'S0' and pred_tmed is not null").count() == 3
 
 
