@@ -13,14 +13,14 @@ from nimbusgrid.functions.scalars import locale_number, no_nan, parse_date
 RAW_SCHEMA = ", ".join(f"{c} string" for c in k.RECORD_FIELDS)
 
 
-def scan_record_files(spark: SparkSession, path: str) -> DataFrame:
-    """Records of every ``*.json`` document below ``path`` that is a list, as text columns.
+def scan_record_files(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """Records of every ``pattern`` document below ``path`` that is a list, as text columns.
 
     Partial batches (``part_*``), documents of another shape and unreadable files are skipped.
     A document holds one (station, year), so a whole file is a small row.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True,
-                            pathGlobFilter="*.json")
+                            pathGlobFilter=pattern)
     return (
         files.filter(~F.col("_metadata.file_name").startswith("part_"))
         .filter(F.col("value").rlike(r"^\s*\["))

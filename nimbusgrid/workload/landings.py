@@ -69,6 +69,15 @@ def clamped_requests(spark: SparkSession, sf: str) -> DataFrame:
                                  today=F.lit("2000-03-15").cast("date"))
 
 
+def _order_batches(spark: SparkSession, sf: str) -> DataFrame:
+    rows = fr.table(spark, sf, "orders").select(
+        "o_custkey", F.col("o_orderdate").cast("date").alias("day"), "o_orderkey", "o_totalprice")
+    month = F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(7)
+    opened = F.make_date(F.year("day"), month, F.lit(1))
+    return landing.as_batch(rows, opened, F.date_sub(F.add_months(opened, 6), 1),
+                            F.col("o_orderkey"))
+
+
 @query("""SELECT o_custkey, CAST(year(day) AS INTEGER) AS year, day, o_orderkey, o_totalprice FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey, day
     ORDER BY o_orderkey % 2 DESC, o_orderkey DESC) AS rn
@@ -76,18 +85,26 @@ def clamped_requests(spark: SparkSession, sf: str) -> DataFrame:
 def landing_compaction(spark: SparkSession, sf: str) -> DataFrame:
     """Orders landed as half-year batches, then compacted to one record per customer and day."""
     parts, master = staging_path(spark, "landing"), staging_path(spark, "master")
-    rows = fr.table(spark, sf, "orders").select(
-        "o_custkey", F.col("o_orderdate").cast("date").alias("day"), "o_orderkey", "o_totalprice")
-    month = F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(7)
-    opened = F.make_date(F.year("day"), month, F.lit(1))
-    batch = landing.as_batch(rows, opened, F.date_sub(F.add_months(opened, 6), 1),
-                             F.col("o_orderkey"))
-    landing.land_batch(batch, parts)
+    landing.land_batch(_order_batches(spark, sf), parts)
     landing.consolidate(spark, parts, master, series="o_custkey", date="day")
     return spark.read.parquet(master).select(
         "o_custkey", "year", "day", "o_orderkey", "o_totalprice")
 
 
+@query("""SELECT o_custkey, CAST(year(day) AS INTEGER) AS year, day, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey, day
+    ORDER BY o_orderkey % 3 DESC, o_orderkey % 2 DESC, o_orderkey DESC) AS rn
+  FROM (SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders)) WHERE rn = 1""")
+def landing_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed in three rounds, each compacted into the master the rounds before left."""
+    parts, master = staging_path(spark, "landing"), staging_path(spark, "master")
+    for turn in range(3):
+        landing.land_batch(_order_batches(spark, sf).filter(F.col("o_orderkey") % 3 == turn), parts)
+        landing.consolidate(spark, parts, master, series="o_custkey", date="day")
+    return spark.read.parquet(master).select(
+        "o_custkey", "year", "day", "o_orderkey", "o_totalprice")
+
+
 @query(f"""WITH {fr.COVERED_USERS},
 placed AS (SELECT user_id, day, floor(value * 8 + 0.0003) / 8 AS value,
   row_number() OVER (PARTITION BY user_id ORDER BY day) AS rn FROM dense)
@@ -166,12 +183,40 @@ def stream_landing(spark: SparkSession, sf: str) -> DataFrame:
     PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1""")
 def stream_compaction(spark: SparkSession, sf: str) -> DataFrame:
-    """Events streamed in and compacted to the latest record per (user, day)."""
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    """Events streamed in as three micro-batches, each merged into the latest per (user, day)."""
+    events, source = fr.table(spark, sf, "events"), staging_path(spark, "events")
+    for turn in range(3):
+        events.filter(F.col("event_id") % 3 == turn).coalesce(1).write.mode("append").parquet(source)
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
               .select("user_id", F.col("ts").cast("date").alias("day"), "event_id", "ts", "value"))
     master = staging_path(spark, "latest")
     streaming.compact_into(
         stream, master, staging_path(spark, "stream"), keys=["user_id", "day"],
         newest_first=["ts", "event_id"], partition_by="day").awaitTermination()
     return spark.read.schema(stream.schema).parquet(master)
+
+
+@query(_VALID_SQL)
+def record_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw records written as one JSON list per file, scanned back and held to the contract."""
+    path = staging_path(spark, "documents")
+    rows = F.to_json(F.collect_list(F.struct("*")))
+    # A document is a station's records; partial batches and other shapes beside it are skipped.
+    documents = raw_records(spark, sf).groupBy("indicativo").agg(rows.alias("value")).select("value")
+    documents.write.option("maxRecordsPerFile", 1).text(path)
+    scanned = records.scan_record_files(spark, path, pattern="*.txt")
+    return records.valid_records(records.require_rows(scanned), start="1996-01-01").select(*_VALID)
+
+
+@query(f"""WITH {_SUBSCRIPTIONS_SQL} SELECT telegram_id, station_code, station_name, active, created_at, updated_at
+FROM subs""")
+def subscription_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Subscriptions written as JSON lists and loaded back; a missing file loads as empty."""
+    path = staging_path(spark, "subscriptions")
+    _subscriptions(spark, sf).select(
+        F.pmod(F.xxhash64("telegram_id"), F.lit(8)).alias("file"),
+        F.struct("telegram_id", "station_code", "station_name", "active", "created_at", "updated_at").alias("row")
+    ).groupBy("file").agg(F.to_json(F.collect_list("row")).alias("value")).select("value").write.option(
+        "maxRecordsPerFile", 1).text(path)
+    missing = subscriptions.load(spark, f"{path}-missing")
+    return subscriptions.load(spark, path).unionByName(missing)

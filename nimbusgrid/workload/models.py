@@ -9,13 +9,16 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from nimbusgrid import constants as k
 from nimbusgrid.operators import joins, metrics
 from nimbusgrid.operators.labels import label_series
 from nimbusgrid.plans import forecast, training
 from nimbusgrid.session import stage, staging_path
-from nimbusgrid.workload.panels import station_panel
+from nimbusgrid.workload import frames as fr
+from nimbusgrid.workload.frames import s6
+from nimbusgrid.workload.panels import CLEAN_SQL, station_panel
 from nimbusgrid.workload.registry import query
 
 VAL, TEST, YEAR = "2000-01-01", "2001-01-01", 2001
@@ -87,3 +90,60 @@ def forecast_report(spark: SparkSession, sf: str) -> DataFrame:
 def rollout_drift(spark: SparkSession, sf: str) -> DataFrame:
     """How the recursive error grows month by month."""
     return metrics.monthly_mae(recursive_forecast(spark, sf), "tmed_real", "tmed")
+
+
+_PLAIN = ("tmed", "tmin", "tmax", "sol", "hrMedia", "velmedia")
+
+
+@query(f"""WITH {CLEAN_SQL},
+long AS (SELECT * FROM (SELECT fecha, unnest([{", ".join(f"{{'target': '{t}', 'value': {q}}}" for t, q in zip(
+    _PLAIN, ("tmed", "tmin", "tmax", "sol", '"hrMedia"', "velmedia")))}], recursive := true) FROM clean)),
+means AS (SELECT target, avg(value) AS mean FROM long WHERE fecha < DATE '{TEST}' GROUP BY 1)
+SELECT target, {s6("avg(abs(value - mean))")} AS mean_mae, true AS beats_mean
+FROM long JOIN means USING (target) WHERE fecha >= DATE '{TEST}' GROUP BY 1""")
+def beats_mean(spark: SparkSession, sf: str) -> DataFrame:
+    """Test error of the training span's mean as a constant forecast, and whether each model beats it."""
+    c = F.col
+    long = station_panel(spark, sf).select("fecha", F.inline(F.array(*[
+        F.struct(F.lit(t).alias("target"), c(t).alias("value")) for t in _PLAIN])))
+    means = long.filter(c("fecha") < F.lit(TEST).cast("date")).groupBy("target").agg(F.avg("value").alias("mean"))
+    constant = (long.filter(c("fecha") >= F.lit(TEST).cast("date")).join(means, "target")
+                .groupBy("target").agg(F.avg(F.abs(c("value") - c("mean"))).alias("mean_mae")))
+    return constant.join(fitted_models(spark, sf).select("target", "mae_test"), "target").select(
+        "target", fr.r6("mean_mae"), (c("mae_test") < c("mean_mae")).alias("beats_mean"))
+
+
+@query(f"""WITH {CLEAN_SQL}
+SELECT indicativo, fecha FROM clean WHERE fecha BETWEEN DATE '{TEST}' AND DATE '{fr.ORDER_END}'""")
+def rollout_days(spark: SparkSession, sf: str) -> DataFrame:
+    """The rollout covers every station and every day of the test span."""
+    return _stored(spark, sf, "recursive").select("indicativo", "fecha")
+
+
+@query(f"""WITH {CLEAN_SQL}
+SELECT indicativo, fecha, {", ".join(f"{s6(q)} AS real_{t}" for t, q in zip(
+    ("tmed", "tmin", "tmax", "prec", "sol", "hrMedia", "velmedia"),
+    ("tmed", "tmin", "tmax", "prec", "sol", '"hrMedia"', "velmedia")))}
+FROM clean WHERE fecha BETWEEN DATE '{YEAR}-01-02' AND DATE '{YEAR}-12-31'""")
+def onestep_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Valid days of the one-step forecast beside the values observed on them."""
+    rows = _stored(spark, sf, "onestep")
+    return rows.select("indicativo", "fecha", *[fr.r6(f"real_{t}") for t in forecast.REAL_COLS])
+
+
+_WARM = 13
+
+
+@query(f"""WITH {CLEAN_SQL},
+placed AS (SELECT *, row_number() OVER s AS rn, CASE WHEN fecha < DATE '{VAL}' THEN 'train'
+    WHEN fecha < DATE '{TEST}' THEN 'val' ELSE 'test' END AS split FROM clean
+  WINDOW s AS (PARTITION BY indicativo ORDER BY fecha))
+SELECT indicativo, fecha, split,
+  {s6("lead(tmed) OVER p")} AS label_tmed, {s6("lead(sol) OVER p")} AS label_sol,
+  CASE WHEN lead(prec) OVER s > 0.1::DOUBLE THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label_rain
+FROM placed WHERE rn > {_WARM} WINDOW p AS (PARTITION BY indicativo, split ORDER BY fecha),
+  s AS (PARTITION BY indicativo ORDER BY fecha)""")
+def training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Complete feature rows with their split and next-day labels."""
+    return _stored(spark, sf, "features").select(
+        "indicativo", "fecha", "split", fr.r6("label_tmed"), fr.r6("label_sol"), "label_rain")

@@ -141,6 +141,13 @@ def _bare(c: str) -> str:
     return c.strip('"')
 
 
+_LAGGED = [*_BASE, "presion_diff", "cloud_moisture", "wind_sin", "wind_cos"]
+_TRENDS = [c for c in k.TREND_COLS if c in _BASE or f'"{c}"' in _BASE]
+_FEATURES = ["presion_diff", "cloud_moisture", "wind_sin", "wind_cos",
+             *[f'"{_bare(c)}_lag_{n}"' for c in _LAGGED for n in k.LAGS],
+             *[f'"{_bare(c)}_roll_{n}"' for c in _ROLLS for n in k.WINDOWS]]
+
+
 @query(f"""WITH {CLEAN_SQL},
 derived AS (SELECT *, presion - lag(presion) OVER s AS presion_diff,
     nubes * "hrMedia" AS cloud_moisture,
@@ -149,29 +156,25 @@ derived AS (SELECT *, presion - lag(presion) OVER s AS presion_diff,
   FROM clean WINDOW s AS (PARTITION BY indicativo ORDER BY fecha)),
 featured AS (SELECT *,
   {", ".join(f'lag({c}, {n}) OVER s AS "{_bare(c)}_lag_{n}"'
-             for c in [*_BASE, "presion_diff", "cloud_moisture", "wind_sin", "wind_cos"]
-             for n in k.LAGS)},
+             for c in _LAGGED for n in k.LAGS)},
   {", ".join(f'CASE WHEN count({c}) OVER w{n} = {n} THEN avg({c}) OVER w{n} END '
              f'AS "{_bare(c)}_roll_{n}"' for c in _ROLLS for n in k.WINDOWS)}
   FROM derived WINDOW s AS (PARTITION BY indicativo ORDER BY fecha), {", ".join(
     f"w{n} AS (PARTITION BY indicativo ORDER BY fecha ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
     for n in k.WINDOWS)})
-SELECT indicativo, fecha, {", ".join(f'{s6(_q)} AS {_q}' for _q in (
-    "presion_diff", "cloud_moisture", "wind_sin", "wind_cos", "presion_diff_lag_7",
-    "cloud_moisture_lag_2", "wind_sin_lag_1", "tmed_lag_7", "tmin_lag_2", "prec_lag_1",
-    "tmed_roll_3", '"hrMedia_roll_7"', "presion_roll_14", "nubes_roll_14"))},
-  {s6("tmed_lag_1 - tmed_lag_2")} AS tmed_trend,
-  {s6("sin(month(fecha) * (2 * pi()) / 12)")} AS month_sin
+SELECT indicativo, fecha, {", ".join(f'{s6(_q)} AS {_q}' for _q in _FEATURES)},
+  {", ".join(f'{s6(f"{c}_lag_1 - {c}_lag_2")} AS {c}_trend' for c in _TRENDS)},
+  {s6("sin(month(fecha) * (2 * pi()) / 12)")} AS month_sin,
+  {s6("cos(month(fecha) * (2 * pi()) / 12)")} AS month_cos,
+  {s6("sin(dayofyear(fecha) * (2 * pi()) / 365.0::DOUBLE)")} AS day_sin,
+  {s6("cos(dayofyear(fecha) * (2 * pi()) / 365.0::DOUBLE)")} AS day_cos
 FROM featured WHERE fecha BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'""")
 def feature_frame(spark: SparkSession, sf: str) -> DataFrame:
     """All model features of one year; the windows see only the history they need."""
     df = features.build_features(station_panel(spark, sf), from_date="2000-01-01",
                                  to_date="2000-12-31")
-    return df.select("indicativo", "fecha", *[r6(c) for c in (
-        "presion_diff", "cloud_moisture", "wind_sin", "wind_cos", "presion_diff_lag_7",
-        "cloud_moisture_lag_2", "wind_sin_lag_1", "tmed_lag_7", "tmin_lag_2", "prec_lag_1",
-        "tmed_roll_3", "hrMedia_roll_7", "presion_roll_14", "nubes_roll_14", "tmed_trend",
-        "month_sin")])
+    names = [c for c in features.EVERYTHING.derived() if c in df.columns]
+    return df.select("indicativo", "fecha", *[r6(c) for c in names])
 
 
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, 0.0::DOUBLE AS absent, l_tax

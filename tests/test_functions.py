@@ -138,3 +138,18 @@ def test_difference_and_labels(spark):
     null = F.lit(None).cast("string")
     assert one(spark, bands.code_name_label(F.col("a"), null), a="0076") == "0076"
     assert one(spark, bands.name_code_label(F.col("a"), null), a="0076") == "0076 (0076)"
+
+
+@pytest.mark.parametrize("felt, actual, text", [
+    (0.35, 0.0, "+0.3°C"), (0.25, 0.0, "+0.2°C"), (0.75, 0.0, "+0.8°C"), (2.675, 0.0, "+2.7°C"), (0.45, 0.0, "+0.5°C"),
+    (-0.35, 0.0, "-0.3°C"), (1.15, 0.0, "+1.1°C"), (10.05, 0.0, "+10.1°C"), (3.0, 3.0, "same"), (-0.04, 0.0, "-0.0°C")])
+def test_difference_text_is_decided_on_the_exact_value(spark, felt, actual, text):
+    assert one(spark, bands.signed_difference(F.col("a"), F.col("b")), a=felt, b=actual) == text
+
+
+def test_tenths_against_exact_formatting(spark):
+    import random
+    rng = random.Random(1)
+    values = [rng.randrange(-99999, 99999) / rng.choice([20, 100, 1000, 40, 7]) for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", scalars.tenths(F.col("v")).alias("t"))
+    assert all("%.1f" % r.v == "%.1f" % r.t for r in df.collect())

@@ -73,3 +73,15 @@ def test_alerts(spark):
     assert " " * 12 + "🎚️ <b>Wind chill:</b> 9.0°C 🌬️" in lines
     (later,) = serving.alerts(subs, forecast(spark), as_of="2025-01-03").collect()
     assert later.pred_tmed == 15.0
+
+
+def test_outer_merge_with_repeated_keys(spark):
+    a = spark.createDataFrame([(1, 5), (1, 2), (2, 7)], "key int, p int")
+    b = spark.createDataFrame([(1, 1), (1, 9), (3, 4)], "key int, q int")
+    got = {tuple(r) for r in joins.outer_merge([a, b], ["key"]).collect()}
+    assert got == {(1, 5, 1), (1, 5, 9), (1, 2, 1), (1, 2, 9), (2, 7, None), (3, None, 4)}
+    folded = joins.outer_merge([a, b], ["key"], unique_keys=True)
+    with pytest.raises(Exception, match="repeats a key"):
+        folded.collect()
+    with pytest.raises(Exception, match="repeats a key"):
+        folded.select("key").collect()

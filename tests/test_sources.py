@@ -167,3 +167,54 @@ def test_streams(spark, tmp_path):
 def test_shared_folder_follows_the_session(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert session.staging_path(spark, "x") != session.staging_path(spark, "x")
+
+
+def _land(spark, folder, rows, batch):
+    df = spark.createDataFrame(rows, "indicativo string, fecha string, v int").withColumn("fecha", F.col("fecha").cast("date"))
+    landing.land_batch(df.withColumns({"batch_id": F.lit(batch), "year": F.year("fecha"),
+                                       "position": F.lit(0).cast("bigint")}), folder)
+
+
+@pytest.mark.parametrize("include_existing", [True, False])
+def test_consolidate_keeps_what_did_not_land(spark, tmp_path, include_existing):
+    parts, master = str(tmp_path / "parts"), str(tmp_path / "master")
+    _land(spark, parts, [("A", "2020-01-01", 1), ("B", "2020-01-01", 2), ("A", "2021-05-05", 3)], "part_1")
+    landing.consolidate(spark, parts, master)
+    _land(spark, parts, [("A", "2020-01-02", 4), ("A", "2020-01-01", 5)], "part_0")
+    landing.consolidate(spark, parts, master, include_existing=include_existing)
+    want = {("A", "2020-01-01", 5), ("A", "2020-01-02", 4), ("B", "2020-01-01", 2), ("A", "2021-05-05", 3)}
+
+    def rows():
+        return {(r.indicativo, str(r.fecha), r.v) for r in spark.read.parquet(master).collect()}
+    assert rows() == want
+    landing.consolidate(spark, parts, master)  # nothing landed since: nothing happens
+    assert rows() == want
+    _land(spark, parts, [("A", "2020-01-03", 6)], "part_2")
+    landing.consolidate(spark, parts, master, include_existing=include_existing)
+    assert rows() == (want | {("A", "2020-01-03", 6)} if include_existing else
+                      {("A", "2020-01-03", 6), ("B", "2020-01-01", 2), ("A", "2021-05-05", 3)})
+
+
+def test_master_scan_is_pruned(spark, tmp_path):
+    master = str(tmp_path / "master")
+    spark.createDataFrame([(y, y) for y in range(2000, 2010)], "year int, v int").write.partitionBy("year").parquet(master)
+    touched = spark.createDataFrame([(2003, 1), (2004, 1)], "year int, v int")
+    for df in (landing.between(spark.read.parquet(master), "year", touched),
+               streaming.master_part(spark, master, touched, "year")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+        assert "2003" in filters and "2004" in filters
+        assert sorted(r.year for r in df.collect()) == [2003, 2004]
+
+
+def test_stream_compaction_merges_micro_batches(spark, tmp_path):
+    source, master = str(tmp_path / "in"), str(tmp_path / "master")
+    schema = "user int, day string, at int"
+    for rows in ([(1, "a", 1), (2, "a", 1)], [(1, "a", 3), (1, "b", 1)], [(1, "a", 2), (3, "c", 1)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    query = streaming.compact_into(stream, master, str(tmp_path / "check"), keys=["user", "day"], newest_first=["at"], partition_by="day")
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 3
+    got = {(r.user, r.day, r.at) for r in spark.read.schema(schema).parquet(master).collect()}
+    assert got == {(1, "a", 3), (2, "a", 1), (1, "b", 1), (3, "c", 1)}
