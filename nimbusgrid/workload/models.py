@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbusgrid import constants as k
-from nimbusgrid.operators import joins, metrics
+from nimbusgrid.operators import joins, metrics, serving
 from nimbusgrid.operators.labels import label_series
 from nimbusgrid.plans import forecast, training
 from nimbusgrid.session import stage, staging_path
@@ -147,3 +147,9 @@ def training_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Complete feature rows with their split and next-day labels."""
     return _stored(spark, sf, "features").select(
         "indicativo", "fecha", "split", fr.r6("label_tmed"), fr.r6("label_sol"), "label_rain")
+
+
+@query()
+def stored_week(spark: SparkSession, sf: str) -> DataFrame:
+    """A reader's next seven days of every station, from the published final forecast."""
+    return serving.weekly_trend(_stored(spark, sf, "final"), TEST)

@@ -51,4 +51,4 @@ def test_entry(spark):
 def test_queries_without_sql_are_the_models():
     assert set(QUERIES) - set(ORACLES) == {
         "fitted_models", "feature_importance", "final_forecast", "onestep_forecast", "recursive_forecast",
-        "forecast_report", "rollout_drift"}
+        "forecast_report", "rollout_drift", "stored_week"}
