@@ -5,17 +5,19 @@ intersection >= percent * union`` are linked; the join is exact but for collisio
 hashes (sets of equal documents are compared by a 128-bit digest of all their hashes).
 
 * Documents with equal sets are one *representative*, so copies cost one row each.
-* With ``n`` shingles, two linked sets share one of the first ``n - ceil(percent * n / 100) + 1``
-  in any common order.  The order is by hash, but shingles of many groups (passages that many
-  documents share) come last, so they are rarely among the first.
-* Similar documents are partitioned into *groups* by the first shingle.  The *matrix* holds every
-  group's union of first shingles, with the least and largest set and the least rank.  A
-  representative meets a group if the sizes allow a link and the overlap bound, its size less
-  the rank of its first shingle in the group's union, reaches the overlap a link needs.
-* Only those groups are opened.  First against their leader, which settles families of near
-  copies with one check per document; then, where documents of the group are not in one component
-  with the representative yet, against these, checked exactly.  A pair that is already in one
-  component adds nothing to components and is not compared again.
+* With ``n`` shingles, two linked sets share ``SHARED`` of the first ``n - ceil(percent * n / 100)
+  + SHARED`` in any common order (all ``ceil(percent * n / 100)`` if those are fewer).  The order is
+  by hash, but shingles of many representatives (passages that many documents share) come last,
+  so they are rarely among the first.
+* Families of near copies settle first: each representative is compared with the most typical one,
+  that with the smallest share of rare shingles, among those with one of its ``LEADS`` lowest hashes.
+* Similar documents are partitioned into *groups*: the components of those links, or a
+  representative by itself.  The *matrix* holds every group's union of first shingles, with the
+  least and largest set.  A representative meets another group if the sizes allow a link and its
+  overlap with the group's union reaches what any linked member would make it.
+* Only those groups are opened, and their members of fitting size and enough common first shingles
+  compared with the representative.  Documents of one component are not compared again, as that
+  adds nothing to components.
 
 Shingles are counted, joined and grouped by Spark; Python only turns a text into its sorted hashes.
 """
@@ -33,8 +35,11 @@ from pyspark.sql import functions as F
 from nimbusgrid.llm.common import components, discard, keep, map_arrow, picked, table
 from nimbusgrid.llm.registry import query
 
-#: A shingle among the first of documents of more than this many groups is moved to the end.
-COMMON_GROUPS = 24
+#: A shingle among the lowest hashes of more than this many representatives is common and comes last.
+COMMON = 24
+#: Shingles that linked sets share among their first ones.
+SHARED = 8
+LEADS = 3
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -61,13 +66,9 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(out.view(np.int64))
 
 
-def first(n: np.ndarray | int, percent: int):
-    """How many shingles of ``n`` a linked set must meet one of."""
-    return n - -(-percent * n // 100) + 1
-
-
 def _low(n: int, percent: int) -> int:
-    return first(n, percent) * 5 // 4 + 16
+    """Lowest hashes kept of ``n``: the first shingles, and some more for common ones among them."""
+    return (n - -(-percent * n // 100) + SHARED) * 5 // 4 + 16
 
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int, percent: int):
@@ -106,17 +107,19 @@ def _whole_sets(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def _ordered(reps: DataFrame, common: DataFrame, percent: int) -> DataFrame:
-    """(rep, n, part, enough): the first shingles of every representative, common ones last.
+    """(rep, n, part, lead, own, enough): the first shingles of every representative, common ones
+    last, its lowest hashes, and its share of rare ones.
 
     Not ``enough``: too many of the lowest hashes are common to tell the first shingles.
     """
-    wanted = F.expr(f"cast(n - ceil({percent} * n / 100.0D) + 1 as int)")
+    wanted = F.expr(f"cast(n - ceil({percent} * n / 100.0D) + {SHARED} as int)")
     hit = (reps.select("rep", "n", F.explode("low").alias("token")).join(common, "token")
            .groupBy("rep", "n").agg(F.collect_set("token").alias("late")))
     marked = reps.join(hit, ["rep", "n"], "left").withColumn("late", F.coalesce("late", F.array().cast("array<long>")))
     marked = marked.withColumn("rare", F.array_except("low", "late"))
     return marked.select(
         "rep", "n", F.slice(F.concat("rare", F.array_intersect("low", "late")), F.lit(1), wanted).alias("part"),
+        F.slice("low", 1, LEADS).alias("lead"), (F.size("rare") / F.size("low")).alias("own"),
         (F.col("whole") | (F.size("rare") >= wanted)).alias("enough"))
 
 
@@ -163,10 +166,7 @@ def _edges(reps: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple
         paths.append(path)
         return out
 
-    # a shingle that stands among the first of many groups tells little
-    few = reps.select(F.col("low")[0].alias("g"), F.explode("low").alias("token"))
-    common = (few.groupBy("token", "g").agg(F.lit(1).alias("one")).groupBy("token").agg(F.count("*").alias("groups"))
-              .where(F.col("groups") > COMMON_GROUPS).select("token"))
+    common = reps.select(F.explode("low").alias("token")).groupBy("token").count().where(F.col("count") > COMMON).select("token")
     common = stage(common, "common")
     parts = _ordered(reps, common, percent)
     short = stage(parts.where("not enough").select("rep", "n"), "short")
@@ -178,42 +178,44 @@ def _edges(reps: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple
         again = stage(whole.join(short, ["rep", "n"], "left_semi").distinct(), "again")
         parts = parts.unionByName(_ordered(again, common, percent).drop("enough"))
 
+    parts = stage(parts, "parts")
+    fits = (F.col("n") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("n") * percent)
+    leads = parts.select("rep", "n", "own", F.explode("lead").alias("token"))
+    lead = leads.groupBy("token").agg(F.min(F.struct("own", "rep", "n")).alias("l"), F.count("*").alias("held")).where("held > 1")
+    pairs = leads.join(lead.select("token", F.col("l.rep").alias("b"), F.col("l.n").alias("nb")), "token").where(
+        "rep <> b").where(fits).select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
+    tried = stage(_promising(pairs, parts, percent), "pairs")
+    linked = stage(_checked(tried, texts, width, percent), "links")
+
+    group_of = components(linked).withColumnRenamed("node", "rep")
+    placed = stage(parts.select("rep", "n").distinct().join(group_of, "rep", "left").select(
+        "rep", "n", F.coalesce("component", "rep").alias("g")), "placed")
     # dealt out by shingle once, for the matrix and for the meeting of sets and groups
-    entries = parts.select("rep", "n", F.col("part")[0].alias("g"), F.posexplode("part").alias("rank", "token")).repartition(
+    entries = parts.select("rep", "n", "part").join(placed, ["rep", "n"]).select(
+        "rep", F.col("n").cast("int").alias("n"), "g", F.explode("part").alias("token")).repartition(
         int(spark.conf.get("spark.sql.shuffle.partitions")), "token")
-    matrix = entries.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("held"))
-    matrix = matrix.withColumn("all", F.sum("held").over(Window.partitionBy("token"))).where(F.col("all") > 1)
-    need = F.ceil(F.lit(percent) * (F.col("n") + F.greatest("least", F.ceil(F.col("n") * percent / 100.0))) / (100.0 + percent))
-    met = (entries.select("token", "rep", "n", "rank").join(matrix.select("token", "g", "least", "most"), "token")
+    matrix = entries.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    matrix = matrix.withColumn("groups", F.count("*").over(Window.partitionBy("token"))).where(F.col("groups") > 1)
+    met = (entries.withColumnRenamed("g", "own").join(matrix.select("token", "g", "least", "most"), "token").where("g <> own")
            .where((F.col("most") * 100 >= F.col("n") * percent) & (F.col("least") * percent <= F.col("n") * 100))
-           .where(F.col("n") - F.col("rank") >= need)
-           .select("rep", "n", "g").distinct())
-    met = stage(met, "met")
-
-    members = stage(parts.select("rep", "n", F.col("part")[0].alias("g")), "groups")
-    leaders = members.groupBy("g").agg(F.min(F.struct("rep", "n")).alias("l")).select("g", F.col("l.rep").alias("b"), F.col("l.n").alias("nb"))
-    fits = (F.col("n") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("n") * percent)
-    pairs = (met.join(leaders, "g").where("rep <> b").where(fits)
-             .select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct())
-    tried = stage(pairs, "pairs")
-    linked = stage(_checked(tried, texts, width, percent), "links")
-    group_of = stage(components(linked), "components")
-
-    # where a met group holds documents of other components, open it
-    placed = members.join(group_of.withColumnRenamed("node", "rep"), "rep", "left").withColumn("c", F.coalesce("component", "rep")).drop("component")
-    placed = stage(placed, "placed")
-    mine = met.select("rep", "n", "g").join(placed.select("rep", "n", "c").distinct(), ["rep", "n"])
-    kinds = placed.groupBy("g").agg(F.min("c").alias("low_c"), F.max("c").alias("high_c"))
-    mixed = mine.join(kinds, "g").where("low_c <> c or high_c <> c").select("g", F.col("rep").alias("q"), F.col("n").alias("nq"), F.col("c").alias("cq"))
-    opened = (mixed.join(placed, "g").where("c <> cq")
-              .where((F.col("n") * 100 >= F.col("nq") * percent) & (F.col("nq") * 100 >= F.col("n") * percent))
-              .select(F.greatest("rep", "q").alias("a"), F.least("rep", "q").alias("b")).where("a <> b").distinct()
-              .join(tried, ["a", "b"], "left_anti"))
-    opened = stage(opened, "opened")
+           .groupBy("rep", "n", "g").agg(F.count("*").alias("overlap"))
+           .where(F.col("overlap") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100.0)))
+           .select(F.col("rep").alias("b"), F.col("n").cast("long").alias("nb"), "g"))
+    opened = stage(met, "met").join(placed, "g").where(fits).select(
+        F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
+    opened = stage(_promising(opened, parts, percent), "opened")
     more = _checked(opened, texts, width, percent)
     return stage(linked.union(more), "links"), paths
 
 
+def _promising(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """The pairs that share as many first shingles as linked sets do."""
+    both = pairs.join(parts.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa")), "a").join(
+        parts.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb")), "b")
+    least = F.least(F.lit(SHARED), F.ceil(F.greatest("na", "nb") * percent / 100.0))
+    return both.where(F.size(F.array_intersect("pa", "pb")) >= least).select("a", "b").distinct()
+
+
 def _checked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs whose whole sets are as similar as asked."""
     spark = pairs.sparkSession

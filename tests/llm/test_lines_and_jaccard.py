@@ -61,7 +61,7 @@ def shingle_set(text, width):
 
 @pytest.mark.parametrize("width, percent, seed", [(3, 90, 1), (1, 60, 2), (2, 80, 3)])
 def test_jaccard_join_against_all_pairs(spark, monkeypatch, width, percent, seed):
-    monkeypatch.setattr(jaccard, "COMMON_GROUPS", 3)  # so that common shingles are moved here too
+    monkeypatch.setattr(jaccard, "COMMON", 3)  # so that common shingles are moved here too
     texts = corpus(seed) + [None, "", " \t\n", "one", "One", "one two"]
     sets = {i: shingle_set(t, width) for i, t in enumerate(texts)}
     linked = [(a, b) for a, b in combinations(sets, 2)
