@@ -14,7 +14,9 @@ hashes (sets of equal documents are compared by a 128-bit digest of all their ha
 * Similar documents are partitioned into *groups*: the components of those links, or a
   representative by itself.  The *matrix* holds every group's union of first shingles, with the
   least and largest set.  A representative meets another group if the sizes allow a link and its
-  overlap with the group's union reaches what any linked member would make it.
+  overlap with the group's union reaches what any linked member would make it.  Where sets share
+  no rare shingle, the overlap is at most what is common in each; only sets whose common part is
+  large enough meet by common shingles, so a large family of looser copies does not meet itself.
 * Only those groups are opened, and their members of fitting size and enough common first shingles
   compared with the representative.  Documents of one component are not compared again, as that
   adds nothing to components.
@@ -107,8 +109,8 @@ def _whole_sets(texts: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def _ordered(reps: DataFrame, common: DataFrame, percent: int) -> DataFrame:
-    """(rep, n, part, lead, own, enough): the first shingles of every representative, common ones
-    last, its lowest hashes, and its share of rare ones.
+    """(rep, n, part, lead, own, rares, enough): the first shingles of every representative, common
+    ones last, its lowest hashes, its share of rare ones, and how many first shingles are rare.
 
     Not ``enough``: too many of the lowest hashes are common to tell the first shingles.
     """
@@ -120,6 +122,7 @@ def _ordered(reps: DataFrame, common: DataFrame, percent: int) -> DataFrame:
     return marked.select(
         "rep", "n", F.slice(F.concat("rare", F.array_intersect("low", "late")), F.lit(1), wanted).alias("part"),
         F.slice("low", 1, LEADS).alias("lead"), (F.size("rare") / F.size("low")).alias("own"),
+        F.least(F.size("rare"), wanted).alias("rares"),
         (F.col("whole") | (F.size("rare") >= wanted)).alias("enough"))
 
 
@@ -191,15 +194,24 @@ def _edges(reps: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple
     placed = stage(parts.select("rep", "n").distinct().join(group_of, "rep", "left").select(
         "rep", "n", F.coalesce("component", "rep").alias("g")), "placed")
     # dealt out by shingle once, for the matrix and for the meeting of sets and groups
-    entries = parts.select("rep", "n", "part").join(placed, ["rep", "n"]).select(
-        "rep", F.col("n").cast("int").alias("n"), "g", F.explode("part").alias("token")).repartition(
+    entries = parts.select("rep", "n", "part", "rares").join(placed, ["rep", "n"]).select(
+        "rep", F.col("n").cast("int").alias("n"), "g", "rares", (F.size("part") > F.col("rares")).alias("mixed"),
+        F.posexplode("part").alias("at", "token")).withColumn("late", F.col("at") >= F.col("rares")).drop("at").repartition(
         int(spark.conf.get("spark.sql.shuffle.partitions")), "token")
-    matrix = entries.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    matrix = matrix.withColumn("groups", F.count("*").over(Window.partitionBy("token"))).where(F.col("groups") > 1)
-    met = (entries.withColumnRenamed("g", "own").join(matrix.select("token", "g", "least", "most"), "token").where("g <> own")
+    # of a set with common shingles among its first, all rare ones are known: the rest is what it can share without them
+    reach = F.when(F.col("mixed"), F.col("n") - F.col("rares")).otherwise(0)
+    matrix = entries.groupBy("token", "g").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("mixed").alias("any_mixed"),
+                                               F.max(reach).alias("reach"))
+    matrix = matrix.withColumn("groups", F.count("*").over(Window.partitionBy("token"))).where(F.col("groups") > 1).drop("groups")
+    allowed = F.least(F.col("n") - F.col("rares"), F.col("reach")) * (100 + percent) >= (F.col("n") + F.col("least")) * percent
+    met = (entries.withColumnRenamed("g", "own").join(matrix, "token").where("g <> own")
            .where((F.col("most") * 100 >= F.col("n") * percent) & (F.col("least") * percent <= F.col("n") * 100))
-           .groupBy("rep", "n", "g").agg(F.count("*").alias("overlap"))
-           .where(F.col("overlap") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100.0)))
+           .where(~F.col("late") | allowed)
+           .groupBy("rep", "n", "g").agg(F.count("*").alias("overlap"), F.count(F.when(~F.col("late"), 1)).alias("rare"),
+                                         F.max(F.col("mixed") & F.col("any_mixed")).alias("mixed"))
+           # common shingles may have been left out of a count between two mixed sets
+           .where((F.col("overlap") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100.0)))
+                  | (F.col("mixed") & (F.col("rare") > 0)))
            .select(F.col("rep").alias("b"), F.col("n").cast("long").alias("nb"), "g"))
     opened = stage(met, "met").join(placed, "g").where(fits).select(
         F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
