@@ -32,9 +32,16 @@ def plain(value):
     return repr(value)
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+#: Read the published models: the smallest tables cover no station well enough to train on.
+PUBLISHED = {"beats_mean", "onestep_days", "rollout_days", "training_rows"}
+
+
+@pytest.mark.parametrize("name", sorted(set(driver.oracle_sql()) - PUBLISHED))
 def test_query_matches_sql(spark, duck, name):
-    df = driver.queries()[name](spark, SF)
+    same(driver.queries()[name](spark, SF), duck, name)
+
+
+def same(df, duck, name):
     cursor = duck.execute(driver.oracle_sql()[name])
     names = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(names)
@@ -44,6 +51,16 @@ def test_query_matches_sql(spark, duck, name):
     assert got == want
 
 
+@pytest.mark.skipif("NIMBUSGRID_SLOW" not in os.environ, reason="trains all models: set NIMBUSGRID_SLOW")
+@pytest.mark.parametrize("name", sorted(PUBLISHED))
+def test_published_query_matches_sql(spark, name):
+    duckdb, sf = pytest.importorskip("duckdb"), SF.replace("0.001", "0.01")
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf}/{table}.parquet'")
+    same(driver.queries()[name](spark, sf), con, name)
+
+
 def test_entry(spark):
     assert driver.entry(spark).columns == ["user_id", "day", "value_est", "value", "value_roll_3", "value_roll_7"]
 
