@@ -160,6 +160,11 @@ def links(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wi
     return member, found.withColumnRenamed("node", "rep").withColumnRenamed("component", "component_id")
 
 
+def _common(sets: DataFrame) -> DataFrame:
+    """(token) of more than ``COMMON`` of the sets; which ones are common only decides an order."""
+    return sets.select(F.explode("low").alias("token")).groupBy("token").count().where(F.col("count") > COMMON).select("token")
+
+
 def _edges(reps: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, list[str]]:
     """Checked links (a, b) between representatives that connect every component."""
     spark, paths = reps.sparkSession, []
@@ -169,18 +174,20 @@ def _edges(reps: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple
         paths.append(path)
         return out
 
-    common = reps.select(F.explode("low").alias("token")).groupBy("token").count().where(F.col("count") > COMMON).select("token")
-    common = stage(common, "common")
-    parts = _ordered(reps, common, percent)
-    short = stage(parts.where("not enough").select("rep", "n"), "short")
-    parts = parts.where("enough").drop("enough")
-    if short.take(1):  # almost all common: order the whole set
-        whole = _whole_sets(texts, short.select("rep").distinct(), width).select(
+    common = stage(_common(reps), "common")
+    again = reps.limit(0)  # with whole sets: those whose lowest hashes are almost all common
+    while True:
+        parts = _ordered(reps, common, percent)
+        short = stage(parts.where("not enough").select("rep", "n"), "short")
+        fresh = stage(short.join(again.select("rep", "n"), ["rep", "n"], "left_anti"), "short")
+        if not fresh.take(1):
+            break
+        whole = _whole_sets(texts, fresh.select("rep").distinct(), width).select(
             F.col("id").alias("rep"), F.size("tokens").cast("long").alias("n"), F.col("tokens").alias("low"),
             F.lit(True).alias("whole"))
-        again = stage(whole.join(short, ["rep", "n"], "left_semi").distinct(), "again")
-        parts = parts.unionByName(_ordered(again, common, percent).drop("enough"))
-
+        again = stage(again.unionByName(whole.join(fresh, ["rep", "n"], "left_semi").distinct()), "again")
+        common = stage(common.union(_common(again)).distinct(), "common")
+    parts = parts.where("enough").unionByName(_ordered(again, common, percent).join(short, ["rep", "n"], "left_semi")).drop("enough")
     parts = stage(parts, "parts")
     fits = (F.col("n") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("n") * percent)
     leads = parts.select("rep", "n", "own", F.explode("lead").alias("token"))
