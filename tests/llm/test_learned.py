@@ -135,3 +135,20 @@ def test_neighbours_of_a_very_common_vector(spark):
         got.setdefault(r.query_id, []).append(r.vec_id)
     want = brute(rows, [r[0] for r in rows if r[0] % 20 == 0], 20)
     assert got == {q: [i for i, _ in found] for q, found in want.items()}
+
+
+def recall(spark, rows, k=20, **settings):
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=k, **settings).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute(rows, [i for i, _ in rows if i % 20 == 0], k)
+    return sum(len(got[q] & {i for i, _ in want[q]}) for q in want) / sum(map(len, want.values()))
+
+
+def test_neighbours_lists_and_beam_grow_until_recall_is_reached(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(4000, 64))
+    rows = [(i, [float(c) for c in v / np.linalg.norm(v)]) for i, v in enumerate(x)]
+    # leaves far below the row count, and lists and a beam too short for random vectors
+    assert recall(spark, rows, leaf=32, lists=8, beam=32) >= 0.89  # RECALL is asked of a sample of the queries
