@@ -152,3 +152,13 @@ def test_neighbours_lists_and_beam_grow_until_recall_is_reached(spark):
     rows = [(i, [float(c) for c in v / np.linalg.norm(v)]) for i, v in enumerate(x)]
     # leaves far below the row count, and lists and a beam too short for random vectors
     assert recall(spark, rows, leaf=32, lists=8, beam=32) >= 0.89  # RECALL is asked of a sample of the queries
+
+
+@pytest.mark.parametrize("length", [64.0, 1e200])
+def test_neighbours_beside_one_long_vector(spark, length):
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[7] *= length
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(x)]
+    assert recall(spark, rows) >= 0.97
