@@ -53,6 +53,20 @@ def outer_merge_repeated(spark: SparkSession, sf: str) -> DataFrame:
             c("c_nationkey").alias("key"), c("c_name").alias("customer"))], ["key"])
 
 
+@query("""SELECT key, o.o_totalprice AS price, l.l_linenumber AS line, l.l_quantity AS quantity, f.l_returnflag AS flag, f.lines
+FROM (SELECT o_orderkey AS key, o_totalprice FROM orders) o
+FULL JOIN (SELECT l_orderkey AS key, l_linenumber, l_quantity FROM lineitem) l USING (key)
+FULL JOIN (SELECT l_orderkey AS key, l_returnflag, count(*) AS lines FROM lineitem GROUP BY 1, 2) f USING (key)""")
+def outer_merge_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole tables by order key: every line with every flag of its order, and orders without lines."""
+    c = F.col
+    lineitem = fr.table(spark, sf, "lineitem").withColumn("key", c("l_orderkey"))
+    return joins.outer_merge([
+        fr.table(spark, sf, "orders").select(c("o_orderkey").alias("key"), c("o_totalprice").alias("price")),
+        lineitem.select("key", c("l_linenumber").alias("line"), c("l_quantity").alias("quantity")),
+        lineitem.groupBy("key", c("l_returnflag").alias("flag")).agg(F.count(F.lit(1)).alias("lines"))], ["key"])
+
+
 @query(f"""WITH {fr.STATION_DAYS}, {fr.SKY_DAYS}
 SELECT fecha, indicativo, tmed, sol, presion, nubes FROM station_days
 LEFT JOIN sky_days USING (fecha, indicativo)""")

@@ -69,3 +69,12 @@ def test_queries_without_sql_are_the_models():
     assert set(QUERIES) - set(ORACLES) == {
         "fitted_models", "feature_importance", "final_forecast", "onestep_forecast", "recursive_forecast",
         "forecast_report", "rollout_drift", "stored_week"}
+
+
+def test_merge_of_repeated_keys_holds_whole_tables(spark):
+    got = driver.queries()["outer_merge_lines"](spark, SF)
+    orders, lineitem = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("orders", "lineitem"))
+    assert got.select("key").distinct().count() == orders.select("o_orderkey").union(lineitem.select("l_orderkey")).distinct().count()
+    assert got.where("line IS NOT NULL").select("key", "line").distinct().count() == (
+        lineitem.select("l_orderkey", "l_linenumber").distinct().count())
+    assert got.where("line IS NULL").count() == orders.join(lineitem, orders.o_orderkey == lineitem.l_orderkey, "left_anti").count() > 0
