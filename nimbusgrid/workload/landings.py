@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,27 @@ from nimbusgrid.workload.formulas import _VALID, RAW_RECORDS, raw_records
 from nimbusgrid.workload.registry import query
 from nimbusgrid.workload.serving import _SUBSCRIPTIONS_SQL, _subscriptions
 
+#: Rows of one written document or file, about.
+FILE_ROWS = 20_000
+
+
+def _pieces(rows: int) -> int:
+    return max(1, -(-rows // FILE_ROWS))
+
+
+def _lists(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """(value): the rows of each key as JSON lists, several where a key has more than ``FILE_ROWS``."""
+    large = rows.groupBy(*keys).count().where(F.col("count") > FILE_ROWS).select(
+        *[F.col(c).alias(f"_{c}") for c in keys], F.ceil(F.col("count") / FILE_ROWS).alias("_pieces"))
+    same = F.lit(True)
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    # at most one large key for every FILE_ROWS rows
+    dealt = rows.join(F.broadcast(large), same, "left").withColumn(
+        "_piece", F.pmod(F.xxhash64(*columns), F.coalesce("_pieces", F.lit(1))))
+    return dealt.groupBy(*keys, "_piece").agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value")).select("value")
+
+
 _VALID_SQL = f"""WITH {RAW_RECORDS}
 SELECT try_cast(fecha AS DATE) AS fecha, indicativo, nombre, provincia, altitud, tmed, prec, dir
 FROM raw WHERE try_cast(fecha AS DATE) >= DATE '1996-01-01' AND indicativo IS NOT NULL"""
@@ -185,9 +208,10 @@ WHERE rn = 1""")
 def stream_compaction(spark: SparkSession, sf: str) -> DataFrame:
     """Events streamed in as three micro-batches, each merged into the latest per (user, day)."""
     events, source = fr.table(spark, sf, "events"), staging_path(spark, "events")
+    files = _pieces(events.count() // 3)
     for turn in range(3):
-        events.filter(F.col("event_id") % 3 == turn).coalesce(1).write.mode("append").parquet(source)
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(source)
+        events.filter(F.col("event_id") % 3 == turn).repartition(files).write.mode("append").parquet(source)
+    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(source)
               .select("user_id", F.col("ts").cast("date").alias("day"), "event_id", "ts", "value"))
     master = staging_path(spark, "latest")
     streaming.compact_into(
@@ -200,9 +224,9 @@ def stream_compaction(spark: SparkSession, sf: str) -> DataFrame:
 def record_files(spark: SparkSession, sf: str) -> DataFrame:
     """Raw records written as one JSON list per file, scanned back and held to the contract."""
     path = staging_path(spark, "documents")
-    rows = F.to_json(F.collect_list(F.struct("*")))
-    # A document is a station's records; partial batches and other shapes beside it are skipped.
-    documents = raw_records(spark, sf).groupBy("indicativo").agg(rows.alias("value")).select("value")
+    # A document is a station's records, or a part of many; partial batches and other shapes beside it are skipped.
+    raw = raw_records(spark, sf)
+    documents = _lists(raw, ["indicativo"], raw.columns)
     documents.write.option("maxRecordsPerFile", 1).text(path)
     scanned = records.scan_record_files(spark, path, pattern="*.txt")
     return records.valid_records(records.require_rows(scanned), start="1996-01-01").select(*_VALID)
@@ -213,10 +237,7 @@ FROM subs""")
 def subscription_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Subscriptions written as JSON lists and loaded back; a missing file loads as empty."""
     path = staging_path(spark, "subscriptions")
-    _subscriptions(spark, sf).select(
-        F.pmod(F.xxhash64("telegram_id"), F.lit(8)).alias("file"),
-        F.struct("telegram_id", "station_code", "station_name", "active", "created_at", "updated_at").alias("row")
-    ).groupBy("file").agg(F.to_json(F.collect_list("row")).alias("value")).select("value").write.option(
-        "maxRecordsPerFile", 1).text(path)
+    _lists(_subscriptions(spark, sf), [], ["telegram_id", "station_code", "station_name", "active", "created_at", "updated_at"]
+           ).write.option("maxRecordsPerFile", 1).text(path)
     missing = subscriptions.load(spark, f"{path}-missing")
     return subscriptions.load(spark, path).unionByName(missing)

@@ -5,6 +5,7 @@ import math
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from nimbusgrid.workload import ORACLES, QUERIES
@@ -78,3 +79,20 @@ def test_merge_of_repeated_keys_holds_whole_tables(spark):
     assert got.where("line IS NOT NULL").select("key", "line").distinct().count() == (
         lineitem.select("l_orderkey", "l_linenumber").distinct().count())
     assert got.where("line IS NULL").count() == orders.join(lineitem, orders.o_orderkey == lineitem.l_orderkey, "left_anti").count() > 0
+
+
+@pytest.mark.parametrize("name", ["record_files", "stream_compaction", "subscription_scan"])
+def test_written_files_have_bounded_rows(spark, duck, monkeypatch, name):
+    from nimbusgrid.workload import landings
+    monkeypatch.setattr(landings, "FILE_ROWS", 10)
+    paths = []
+    staged = landings.staging_path
+    monkeypatch.setattr(landings, "staging_path", lambda *a: paths.append((a[1], staged(*a))) or paths[-1][1])
+    df = driver.queries()[name](spark, SF)
+    path = dict(paths)[{"record_files": "documents", "stream_compaction": "events", "subscription_scan": "subscriptions"}[name]]
+    if name == "stream_compaction":
+        held = spark.read.parquet(path).groupBy(F.input_file_name()).count()
+    else:
+        held = spark.read.text(path).select(F.size(F.from_json("value", "array<map<string,string>>")).alias("count"))
+    assert held.agg(F.max("count")).first()[0] <= 30  # about FILE_ROWS, dealt by hash
+    same(df, duck, name)
