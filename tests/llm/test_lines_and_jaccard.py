@@ -120,3 +120,10 @@ def test_lines_plan_has_no_python(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     plan = lines.line_sets(docs, "doc_id", "text", lines.bands(docs, "text"), 80)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_near_lines_of_both_texts_of_a_repeated_id(spark):
+    a, b = ([f"{c}{i}" for i in range(30)] for c in "ab")
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(a[:-1] + ["x"])), (3, " ".join(b[:-1] + ["y"]))]
+    got = lines.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == {(2, 0, False), (3, 0, False)}
