@@ -1,6 +1,7 @@
 """All queries of this folder, for the driver's entry module."""
 
-from nimbusgrid.llm import decontaminate, jaccard, language, lines, mixing, neighbours, pii, secrets, tokens, toxicity  # noqa: F401
+from nimbusgrid.llm import (  # noqa: F401
+    decontaminate, jaccard, language, lines, manifest, mixing, neighbours, pii, secrets, tokens, toxicity)
 from nimbusgrid.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
