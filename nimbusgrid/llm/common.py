@@ -60,6 +60,13 @@ def uniform(*columns: Column | str, seed: str = "") -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
+def sql_crc32(number: str) -> str:
+    """SQL for the unsigned crc32 of a number in decimal, which the checking engine has no function for."""
+    step = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))"
+    letters = f"list_transform(string_split(cast({number} as varchar), ''), lambda x: ord(x)::bigint)"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, {letters}), lambda a, b: {step}), 4294967295)"
+
+
 def sampled(df: DataFrame, by: Column, rows: int, total: int) -> DataFrame:
     """About ``rows`` of ``total`` rows, chosen by a hash of ``by``: narrow, and alike in reruns."""
     if total <= rows:

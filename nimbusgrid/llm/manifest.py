@@ -28,7 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nimbusgrid.llm.common import keep, table
+from nimbusgrid.llm.common import keep, sql_crc32, table
 from nimbusgrid.llm.registry import query
 from nimbusgrid.operators.ranking import running_totals
 
@@ -246,15 +246,13 @@ def proof_digest(path: Column) -> Column:
     return F.sha2(F.array_join(F.transform(path, lambda s: F.concat(s["left"], s["right"])), ""), 256)
 
 
-# crc32 has no SQL function: eight shifts a byte, as list_reduce.
 _SQL = """
 with recursive rows as (
   select doc_id, coalesce('=' || lang, '') as g,
     coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
       || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-') as head,
     text, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low,
-    xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''), lambda x: ord(x)::bigint)),
-      lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 3 = 0 as hit
+    CRC_OF_ID % 3 = 0 as hit
   from documents),
 leaves as (
   select doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf,
@@ -299,7 +297,7 @@ ended as (
   select doc_id, leaf, subroot, root, sha256(sibs) as proof_sha256,
     list_reduce(list_prepend({l: now, r: ''}, path), lambda a, s: {l: sha256(s.l || a.l || s.r), r: ''}).l as folded_root from whole)
 select doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root as verified from ended
-"""
+""".replace("CRC_OF_ID", sql_crc32("doc_id"))
 
 
 @query(_SQL)
