@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +20,8 @@ from nimbusgrid.functions.indices import apparent_temperature, rainbow_score
 from nimbusgrid.functions.scalars import bounded
 from nimbusgrid.operators import features as ops
 from nimbusgrid.operators.metrics import fit_status, regression_metrics, roc_auc
-from nimbusgrid.session import shared_folder, stage
+from nimbusgrid.plans import boosting
+from nimbusgrid.session import shared_folder, stage, staging_path
 from nimbusgrid.sources import storage
 
 SPECS = {"rain": ops.RAIN, "tmed": ops.TEMPERATURE, "tmin": ops.TEMPERATURE,
@@ -78,41 +75,28 @@ def training_frame(panel: DataFrame, targets: Sequence[str] = k.TARGETS, *,
         .alias(f"label_{t}") for t in targets])
 
 
-def booster(target: str, label: str, settings: Mapping[str, float] | None = None, *,
-            max_iter: int | None = None, max_bins: int = 255, tolerance: float = 0.0,
-            seed: int = 42):
-    """The gradient-boosted estimator with the target's settings.
+#: Training rows that one task holds in its binned form.
+ROWS_A_TASK = 100_000
 
-    Trees grow level by level here, so the depth is capped by what the leaf count allows.
-    Boosting ends after ``max_iter`` rounds, or with the first round that lowers the validation
-    error by no more than ``tolerance`` of it: at 0.0, when the error rises.
-    """
-    s = dict(settings or k.BOOSTING[target])
-    rounds = max_iter or (3000 if s["learning_rate"] < 0.03 else 1500)
-    kind = GBTClassifier if target == "rain" else GBTRegressor
-    return kind(
-        labelCol=label, featuresCol="features", validationIndicatorCol="is_validation",
-        stepSize=s["learning_rate"], maxIter=rounds, maxBins=max_bins, validationTol=tolerance,
-        maxDepth=min(s["max_depth"], math.ceil(math.log2(s["num_leaves"]))),
-        minInstancesPerNode=s["min_child_samples"],
-        featureSubsetStrategy=str(s["feature_fraction"]), seed=seed)
-
-
-def fit_target(frame: DataFrame, target: str, names: Sequence[str], *, partitions: int = 16,
+
+def fit_target(frame: DataFrame, target: str, names: Sequence[str], *, folder: str | None = None,
+               partitions: int | None = None, settings: Mapping[str, float] | None = None,
                series: str = SERIES, date: str = DATE, **options) -> PipelineModel:
-    """Fit on train rows, stopping early on val rows; rows without a label are left out.
+    """Fit on train rows, judged on val rows (see ``boosting``); rows without a label are left out.
 
-    Rows are dealt by (series, date) to ``partitions``, so a fit depends neither on the number of
-    cores nor on that of files; raise it with the number of rows.
+    Rows are dealt by (series, date) to partitions sized by their number, so a fit depends neither on
+    the number of cores nor on that of files.  ``folder`` keeps the blocks for resuming.
     """
-    shared_folder(frame.sparkSession)  # boosting checkpoints its long lineage there
+    spark = frame.sparkSession
+    shared_folder(spark)  # boosting checkpoints its long lineage there
     label = f"label_{target}"
-    rows = (frame.filter(F.col("split").isin("train", "val") & F.col(label).isNotNull())
-            .repartition(partitions, series, date).sortWithinPartitions(series, date)
-            .select(*names, label, (F.col("split") == "val").alias("is_validation")))
-    assembler = VectorAssembler(inputCols=list(names), outputCol="features",
-                                handleInvalid="error")
-    return Pipeline(stages=[assembler, booster(target, label, **options)]).fit(rows)
+    rows = frame.filter(F.col("split").isin("train", "val") & F.col(label).isNotNull())
+    partitions = partitions or -(-max(rows.count(), 1) // ROWS_A_TASK)
+    assembler = VectorAssembler(inputCols=list(names), outputCol="features", handleInvalid="error")
+    dealt = assembler.transform(rows).select(
+        series, date, "features", F.col(label).cast("double").alias("label"), (F.col("split") == "val").alias("is_validation"))
+    dealt = stage(dealt.repartition(partitions, series, date).sortWithinPartitions(series, date), "rows")
+    return boosting.boost(dealt, target, names, settings or k.BOOSTING[target], folder or staging_path(spark, "boosting"), **options)
 
 
 def model_features(model: PipelineModel) -> list[str]:
@@ -125,9 +109,9 @@ def score(frame: DataFrame, target: str, model: PipelineModel, *, missing: float
     absent = [c for c in model_features(model) if c not in frame.columns]
     out = model.transform(frame.withColumns({c: F.lit(missing) for c in absent})
                           if absent else frame)
-    value = (vector_to_array("probability")[1] if target == "rain" else F.col("prediction"))
-    return out.withColumn(name or prediction_column(target), value).drop(
-        "features", "rawPrediction", "probability", "prediction", *absent)
+    blocks = len(model.stages) - 1
+    return out.withColumn(name or prediction_column(target), boosting.prediction(target, blocks)).drop(
+        "features", *[f"_block_{i}" for i in range(blocks)], *absent)
 
 
 def score_all(frame: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
@@ -174,13 +158,20 @@ def load_models(spark: SparkSession, folder: str,
             if storage.path_exists(spark, f"{folder}/{t}")}
 
 
-def feature_importance(spark: SparkSession, target: str, model: PipelineModel,
+def feature_importance(spark: SparkSession, folder: str, target: str, model: PipelineModel,
                        n: int = 20) -> DataFrame:
-    """The ``n`` most important features (one row per feature of the model, not of the data)."""
-    weights = model.stages[-1].featureImportances.toArray()
-    rows = [(target, name, float(w)) for name, w in zip(model_features(model), weights)]
-    table = spark.createDataFrame(rows, "target string, feature string, importance double")
-    return table.orderBy(F.desc("importance"), "feature").limit(n)
+    """The ``n`` features whose splits gain most, from the trees stored in ``folder``."""
+    shares = boosting.importances(boosting.stored_nodes(spark, f"{folder}/{target}"), model_features(model))
+    return shares.select(F.lit(target).alias("target"), "feature", "importance").orderBy(F.desc("importance"), "feature").limit(n)
+
+
+def fit_all(frame: DataFrame, names: Mapping[str, Sequence[str]], *, folder: str | None = None, parallel: int = 1,
+            series: str = SERIES, date: str = DATE, **options) -> dict[str, PipelineModel]:
+    """Fit the targets of ``names`` on one stored frame, ``parallel`` at a time."""
+    fit = inheritable_thread_target(frame.sparkSession)(
+        lambda t: fit_target(frame, t, names[t], folder=folder, series=series, date=date, **options))
+    with ThreadPool(max(1, parallel)) as pool:
+        return dict(zip(names, pool.map(fit, names)))
 
 
 def train(panel: DataFrame, targets: Sequence[str] = k.TARGETS, *, val_start=k.VAL_START_DATE,
@@ -196,11 +187,7 @@ def train(panel: DataFrame, targets: Sequence[str] = k.TARGETS, *, val_start=k.V
     frame = stage(training_frame(panel, targets, val_start=val_start, test_start=test_start,
                                  **keys), "features")
     names = {t: target_features(panel, t, **keys) for t in targets}
-    fit = inheritable_thread_target(panel.sparkSession)(
-        lambda t: fit_target(frame, t, names[t], **keys, **options))
-    with ThreadPool(max(1, parallel)) as pool:
-        models = dict(zip(targets, pool.map(fit, targets)))
-    return models, frame
+    return fit_all(frame, names, parallel=parallel, **keys, **options), frame
 
 
 def final_forecast(frame: DataFrame, models: Mapping[str, PipelineModel], *,

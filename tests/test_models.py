@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from nimbusgrid import constants as k
 from nimbusgrid.operators import features, metrics
 from nimbusgrid.operators.labels import label_series
-from nimbusgrid.plans import forecast, training
+from nimbusgrid.plans import boosting, forecast, training
 
 D = dt.date
 TARGETS = ("tmed", "hrMedia", "rain")
@@ -84,16 +84,89 @@ def test_evaluate(trained):
     assert rows["tmed"].mae_train > 0 and rows["tmed"].auc_test is None
 
 
-def test_fit_keeps_trees_until_validation_error_rises(panel, trained):
-    """With the settings' rounds: many trees, and the one after the last would not have helped."""
-    _, frame, _ = trained
-    names = training.target_features(panel, "tmed")
-    model = training.fit_target(frame, "tmed", names, max_iter=60)
-    gbt = model.stages[-1]
-    assert gbt.getNumTrees > 8
-    val = model.stages[0].transform(frame.filter("split = 'val' and label_tmed is not null"))
-    errors = gbt.evaluateEachIteration(val, "squared")
-    assert errors[-1] == min(errors) and all(b <= a for a, b in zip(errors, errors[1:]))
+def test_judged_waits_for_patience():
+    """The score rises once and then falls: the later blocks are kept."""
+    def after(values, larger=False, most=1500):
+        return boosting.judged([(25 * (i + 1), v) for i, v in enumerate(values)], larger_is_better=larger, patience=50, most=most)
+
+    assert after([5.0]) == (1, None)
+    assert after([5.0, 5.2]) == (1, None)
+    assert after([5.0, 5.2, 4.8]) == (3, None)
+    assert after([5.0, 5.2, 4.8, 4.9, 4.8]) == (3, "patience")  # a tie is no gain
+    assert after([5.0, 5.2, 5.1]) == (1, "patience")
+    assert after([0.6, 0.5, 0.7], larger=True) == (3, None)
+    assert after([5.0, 4.9], most=50) == (2, "rounds")
+    nan = float("nan")
+    assert after([nan, nan])[1] is None
+    assert after([nan, 4.0]) == (2, None)
+
+
+def rows_of(trained, target="tmed"):
+    models, frame, _ = trained
+    names = training.model_features(models[target])
+    data = models[target].stages[0].transform(frame.filter(f"split in ('train', 'val') and label_{target} is not null"))
+    return names, data.select("features", F.col(f"label_{target}").alias("label"), (F.col("split") == "val").alias("is_validation")).repartition(2).cache()
+
+
+def test_blocks_after_a_rise_are_kept_and_stored(spark, trained, tmp_path, monkeypatch):
+    names, rows = rows_of(trained)
+    scores = iter([5.0, 5.5, 4.0, 4.5, 4.6])
+    monkeypatch.setattr(boosting, "validation_score", lambda *_: next(scores))
+    model = boosting.boost(rows, "tmed", names, k.BOOSTING["tmed"], str(tmp_path), block=2, patience=4, max_iter=100)
+    assert len(model.stages) - 1 == 3
+    stored = boosting.read_scores(spark, str(tmp_path)).orderBy("block").collect()
+    assert [(r.block, r.rounds, r.score) for r in stored] == [(0, 2, 5.0), (1, 4, 5.5), (2, 6, 4.0), (3, 8, 4.5), (4, 10, 4.6)]
+
+
+def test_fit_resumes_with_the_next_block(spark, trained, tmp_path, monkeypatch):
+    names, rows = rows_of(trained)
+    options = {"block": 3, "max_iter": 9}
+    whole = boosting.boost(rows, "tmed", names, k.BOOSTING["tmed"], str(tmp_path / "whole"), **options)
+    real, calls = boosting.validation_score, []
+
+    def lost_after_one(found, target):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        return real(found, target)
+
+    monkeypatch.setattr(boosting, "validation_score", lost_after_one)
+    with pytest.raises(RuntimeError):
+        boosting.boost(rows, "tmed", names, k.BOOSTING["tmed"], str(tmp_path / "cut"), **options)
+    assert boosting.read_scores(spark, str(tmp_path / "cut")).count() == 1
+    again = boosting.boost(rows, "tmed", names, k.BOOSTING["tmed"], str(tmp_path / "cut"), **options)
+    assert len(calls) == 4  # blocks 2 and 3; the first was read
+    assert len(again.stages) == len(whole.stages)
+    row = rows.limit(20)
+    one, two = (boosting._with_margin(row, m.stages[1:]).agg(F.sum("_sum")).first()[0] for m in (whole, again))
+    assert one == pytest.approx(two, abs=1e-9)
+
+
+def test_blocks_lower_the_training_error(trained, tmp_path):
+    for target in ("tmed", "rain"):
+        names, rows = rows_of(trained, target)
+        model = boosting.boost(rows, target, names, k.BOOSTING[target], str(tmp_path / target), block=4, patience=100, max_iter=12)
+        blocks, train, errors = model.stages[1:], rows.filter("not is_validation"), []
+        for n in range(1, len(blocks) + 1):
+            scored = boosting._with_margin(train, blocks[:n])
+            loss = F.log1p(F.exp((1 - 2 * F.col("label")) * F.col("_sum"))) if target == "rain" else (F.col("label") - F.col("_sum")) ** 2
+            errors.append(scored.agg(F.avg(loss)).first()[0])
+        assert errors == sorted(errors, reverse=True)
+
+
+def test_fit_without_validation_rows(spark, trained, tmp_path):
+    names, rows = rows_of(trained)
+    model = boosting.boost(rows.filter("not is_validation"), "tmed", names, k.BOOSTING["tmed"], str(tmp_path), block=2, max_iter=4)
+    assert len(model.stages) >= 2
+
+
+def test_importances_from_stored_trees(spark, trained):
+    models, _, folder = trained
+    nodes = boosting.stored_nodes(spark, f"{folder}/tmed")
+    got = boosting.importances(nodes, training.model_features(models["tmed"]))
+    assert got.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
+    trees = nodes.select("block", "tree").distinct().count()
+    assert trees == sum(len(b.treeWeights) for b in models["tmed"].stages[1:])
 
 
 def test_saved_models_load(spark, trained):
@@ -103,7 +176,7 @@ def test_saved_models_load(spark, trained):
     row = frame.limit(1)
     assert training.score(row, "tmed", loaded["tmed"]).first().pred_tmed == \
         training.score(row, "tmed", models["tmed"]).first().pred_tmed
-    top = training.feature_importance(spark, "tmed", loaded["tmed"], 5).collect()
+    top = training.feature_importance(spark, folder, "tmed", loaded["tmed"], 5).collect()
     assert len(top) == 5 and top[0].importance >= top[4].importance
 
 
@@ -183,5 +256,20 @@ def test_rollout_with_short_history(panel, trained):
 
 def test_constants_are_consistent():
     assert set(training.SPECS) == set(k.BOOSTING) == set(k.TARGETS)
-    assert training.booster("tmax", "y").getMaxIter() == 3000 and training.booster("tmed", "y").getMaxIter() == 1500
-    assert training.booster("tmax", "y").getMaxDepth() == 6 and training.booster("rain", "y").getMaxDepth() == 4
+    assert boosting.rounds_allowed(k.BOOSTING["tmax"]) == 3000 and boosting.rounds_allowed(k.BOOSTING["tmed"]) == 1500
+    depth = {t: boosting.block_booster(k.BOOSTING[t], rounds=5).getMaxDepth() for t in ("tmax", "rain")}
+    assert depth == {"tmax": 6, "rain": 4}
+
+
+def test_publishing_goes_on_where_it_ended(spark, panel, tmp_path):
+    folder = str(tmp_path / "published")
+    options = {"val_start": VAL, "test_start": TEST, "year": 2021, "horizon": 5, "parallel": 3, "max_iter": 3}
+    forecast.publish(panel, folder, steps=["features"], **options)
+    assert not (tmp_path / "published" / "models").exists()
+    forecast.publish(panel, folder, steps=["recursive"], **options)  # models are made for it
+    assert spark.read.parquet(f"{folder}/recursive").count() == 6 * 5
+    assert not (tmp_path / "published" / "onestep").exists()
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "published" / "recursive").iterdir()}
+    forecast.publish(panel, folder, **options)
+    assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "published" / "recursive").iterdir()}
+    assert spark.read.parquet(f"{folder}/onestep").count() > 0 and spark.read.parquet(f"{folder}/final").count() > 0
