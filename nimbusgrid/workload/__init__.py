@@ -4,6 +4,7 @@ from nimbusgrid.workload import (  # noqa: F401
     audits,
     formulas,
     landings,
+    maintained,
     models,
     panels,
     serving,
