@@ -17,9 +17,11 @@ hashes (sets of equal documents are compared by a 128-bit digest of all their ha
   overlap with the group's union reaches what any linked member would make it.  Where sets share
   no rare shingle, the overlap is at most what is common in each; only sets whose common part is
   large enough meet by common shingles, so a large family of looser copies does not meet itself.
-* Only those groups are opened, and their members of fitting size and enough common first shingles
-  compared with the representative.  Documents of one component are not compared again, as that
-  adds nothing to components.
+* A representative is first compared with a few members, the least, the greatest and one more, of the groups
+  it overlaps most.  The links found join components, and groups of the representative's own component need
+  no comparison any more, so a loose family costs its members a few comparisons each.
+* The groups left are opened, and their members of fitting size and enough common first shingles
+  compared with the representative.
 
 Shingles are counted, joined and grouped by Spark; Python only turns a text into its sorted hashes.
 """
@@ -42,6 +44,8 @@ COMMON = 24
 #: Shingles that linked sets share among their first ones.
 SHARED = 8
 LEADS = 3
+#: Groups that a representative is compared with in a round before all that are left are opened, and such rounds.
+NEAREST, ROUNDS = 4, 2
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -194,14 +198,14 @@ def _edges(reps: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple
     lead = leads.groupBy("token").agg(F.min(F.struct("own", "rep", "n")).alias("l"), F.count("*").alias("held")).where("held > 1")
     pairs = leads.join(lead.select("token", F.col("l.rep").alias("b"), F.col("l.n").alias("nb")), "token").where(
         "rep <> b").where(fits).select(F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct()
-    tried = stage(_promising(pairs, parts, percent), "pairs")
+    tried = stage(_promising(stage(pairs, "leads"), parts, percent), "pairs")
     linked = stage(_checked(tried, texts, width, percent), "links")
 
-    group_of = components(linked).withColumnRenamed("node", "rep")
-    placed = stage(parts.select("rep", "n").distinct().join(group_of, "rep", "left").select(
-        "rep", "n", F.coalesce("component", "rep").alias("g")), "placed")
+    group_of = stage(components(linked).withColumnRenamed("node", "rep"), "groups")
+    grouped = picked(parts.select("rep", "n", "part", "rares"), group_of, "rep", "left").withColumn("g", F.coalesce("component", "rep"))
+    placed = stage(grouped.select("rep", "n", "g").distinct(), "placed")
     # dealt out by shingle once, for the matrix and for the meeting of sets and groups
-    entries = parts.select("rep", "n", "part", "rares").join(placed, ["rep", "n"]).select(
+    entries = grouped.select(
         "rep", F.col("n").cast("int").alias("n"), "g", "rares", (F.size("part") > F.col("rares")).alias("mixed"),
         F.posexplode("part").alias("at", "token")).withColumn("late", F.col("at") >= F.col("rares")).drop("at").repartition(
         int(spark.conf.get("spark.sql.shuffle.partitions")), "token")
@@ -219,18 +223,40 @@ def _edges(reps: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple
            # common shingles may have been left out of a count between two mixed sets
            .where((F.col("overlap") >= F.least(F.lit(SHARED), F.ceil(F.col("n") * percent / 100.0)))
                   | (F.col("mixed") & (F.col("rare") > 0)))
-           .select(F.col("rep").alias("b"), F.col("n").cast("long").alias("nb"), "g"))
-    opened = stage(met, "met").join(placed, "g").where(fits).select(
-        F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    opened = stage(_promising(opened, parts, percent), "opened")
+           .select(F.col("rep").alias("b"), F.col("n").cast("long").alias("nb"), "g", "overlap"))
+    met = stage(met, "met")
+    size = F.struct("n", "rep")
+    faces = stage(placed.groupBy("g").agg(F.min(size).alias("x"), F.max(size).alias("y"), F.min(F.struct(F.xxhash64("rep"), "n", "rep")).alias("z"))
+                  .select("g", F.explode(F.array_distinct(F.array("x", "y", F.struct("z.n", "z.rep")))).alias("f")).select("g", "f.*"), "faces")
+    closest = Window.partitionBy("b", "nb").orderBy(F.desc("overlap"), F.xxhash64("b", "g"))
+    pair = (F.greatest("rep", "b").alias("a"), F.least("rep", "b").alias("b"))
+    for _ in range(ROUNDS):
+        few = met.withColumn("place", F.row_number().over(closest)).where(F.col("place") <= NEAREST).join(faces, "g").where(fits)
+        few = stage(few.select(*pair).distinct().join(tried, ["a", "b"], "left_anti"), "few")
+        if not few.take(1):
+            break
+        linked = stage(linked.union(_checked(stage(_promising(few, parts, percent), "few"), texts, width, percent)), "links")
+        tried = stage(tried.union(few), "tried")
+        whole = stage(components(linked), "joined")
+        for name in ("b", "g"):
+            side = whole.select(F.col("node").alias(name), F.col("component").alias(f"of_{name}"))
+            met = picked(met, side, name, "left")
+        met = stage(met.where("coalesce(of_b, b) <> coalesce(of_g, g)").drop("of_b", "of_g"), "met")
+    opened = met.join(placed, "g").where(fits).select(*pair).distinct().join(tried, ["a", "b"], "left_anti")
+    opened = stage(_promising(stage(opened, "opened"), parts, percent), "opened")
     more = _checked(opened, texts, width, percent)
     return stage(linked.union(more), "links"), paths
 
 
 def _promising(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """The pairs that share as many first shingles as linked sets do."""
-    both = pairs.join(parts.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa")), "a").join(
-        parts.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb")), "b")
+    """The pairs that share as many first shingles as linked sets do.
+
+    Only the sets in a pair take part in the joins: their ids are picked first.
+    """
+    ids = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    asked = picked(parts.select("rep", "n", "part"), ids, "rep", "left_semi")
+    both = pairs.join(asked.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("part").alias("pa")), "a").join(
+        asked.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("part").alias("pb")), "b")
     least = F.least(F.lit(SHARED), F.ceil(F.greatest("na", "nb") * percent / 100.0))
     return both.where(F.size(F.array_intersect("pa", "pb")) >= least).select("a", "b").distinct()
 
