@@ -85,8 +85,11 @@ def advice_icon(felt: Column) -> Column:
 
 def signed_difference(felt: Column, actual: Column) -> Column:
     """``+1.5°C`` style text of felt minus actual, or ``same`` when equal."""
-    gap = felt - actual
-    return F.when(gap == 0, "same").otherwise(F.format_string("%+.1f°C", tenths(gap)))
+    def text(gap: Column) -> Column:
+        return F.when(gap == 0, "same").otherwise(F.format_string("%+.1f°C", tenths(gap)))
+
+    # bound once: the text refers to the gap many times, and the gap may be a long formula
+    return F.element_at(F.transform(F.array(felt - actual), text), 1)
 
 
 def code_name_label(code: Column, name: Column, separator: str = " ") -> Column:
