@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ END_ID = 1
 SHARD_TOKENS = 1 << 20
 _STEP = 64  # bytes between two entries of a rank directory
 _CACHE_WORDS = 800_000
+_GATHER = 1 << 18  # words whose ids are gathered at once
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint16)
 _STATE: dict = {}
 
@@ -71,50 +73,66 @@ class Encoder:
         settings = json.loads(self._tokenizer.to_str())
         self._short = "</w>" == settings["model"].get("end_of_word_suffix") and [
             n["type"] for n in (settings.get("normalizer") or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
-        self._model = self._tokenizer.model
+        self._tokenize = self._tokenizer.model.tokenize
         self._letters = {b: c for b, c in _byte_letters().items()}
         top = max(self._tokenizer.get_vocab().values())
         self.dtype = np.dtype("<u2" if top < 1 << 16 else "<u4")
         self._code = {2: "H", 4: "I"}[self.dtype.itemsize]
         self._cache: dict[str, bytes] = {}
 
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece, which are those of the word that is written like it."""
+        found = self._cache.get(piece)
+        if found is None:
+            shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
+            found = self._cache[piece] = array(self._code, [t.id for t in self._tokenize(shown)]).tobytes()
+        return found
+
     def _word(self, word: str) -> bytes:
-        lower, out = word.lower(), []
+        lower = word.lower()
         if lower.isalpha():
-            pieces = (lower,)
-        elif lower[-1] in ".," and lower[:-1].isalpha():
-            pieces = (lower[:-1], lower[-1])
-        else:
-            pieces = self._PIECES.findall(lower)
-        for piece in pieces:
-            found = self._cache.get(piece) if len(piece) < 4 else None
-            if found is None:
-                shown = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
-                found = array(self._code, [t.id for t in self._model.tokenize(shown)]).tobytes()
-                if len(piece) < 4:
-                    self._cache[piece] = found
-            out.append(found)
-        return b"".join(out)
-
-    def __call__(self, text: str) -> np.ndarray:
-        words = text.replace("\n", " ").split(" ")
-        cache = self._cache
-        found = list(map(cache.get, words))
-        if None in found:
-            missing = {w for w, ids in zip(words, found) if ids is None}
-            if len(cache) + len(missing) > _CACHE_WORDS:
-                cache.clear()
-                missing = set(words)
-            plain, other = _PLAIN.fullmatch, []
-            for word in missing:
+            return self._piece(lower)
+        if lower[-1] in ".," and lower[:-1].isalpha():
+            return self._piece(lower[:-1]) + self._piece(lower[-1])
+        return b"".join(map(self._piece, self._PIECES.findall(lower)))
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words."""
+        cache, plain, other, out = self._cache, _PLAIN.fullmatch, [], []
+        if len(cache) > _CACHE_WORDS:
+            cache.clear()
+        for i, word in enumerate(words):
+            known = cache.get(word)
+            if known is None:
                 if self._short and plain(word) and "<|" not in word:
-                    cache[word] = self._word(word)
+                    known = self._word(word)
                 else:
-                    other.append(word)
-            for word, encoded in zip(other, self._tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-                cache[word] = np.array(encoded.ids, dtype=self.dtype).tobytes()
-            found = map(cache.__getitem__, words)
-        return np.frombuffer(b"".join(found), dtype=self.dtype)
+                    other.append(i)
+            out.append(known)
+        for i, encoded in zip(other, self._tokenizer.encode_batch_fast([words[i] for i in other], add_special_tokens=False)):
+            out[i] = cache[words[i]] = np.array(encoded.ids, dtype=self.dtype).tobytes()
+        return out
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts put together, how many are each text's); null texts are empty.
+
+        The words of all texts are told apart once; a text's ids are gathered from those of its words.
+        """
+        words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        which, encoded = coded.indices.to_numpy(), self._words(coded.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(encoded), dtype=self.dtype)
+        size = np.fromiter(map(len, encoded), np.int64, len(encoded)) // self.dtype.itemsize
+        first, many = np.cumsum(size) - size, size[which]
+        parts = [np.zeros(0, self.dtype)]
+        for at in range(0, len(which), _GATHER):
+            n, start = many[at:at + _GATHER], first[which[at:at + _GATHER]]
+            parts.append(ids[np.arange(int(n.sum())) + np.repeat(start - (np.cumsum(n) - n), n)])
+        offsets = words.offsets.to_numpy()[:-1]
+        return np.concatenate(parts), np.add.reduceat(many, offsets) if len(offsets) else many
+
+    def __call__(self, text: str) -> np.ndarray:
+        return self.batch(pa.array([text], pa.string()))[0]
 
 
 def _encoder(path: str) -> Encoder:
@@ -123,6 +141,14 @@ def _encoder(path: str) -> Encoder:
     return _STATE[path]
 
 
+def _ones(packed: np.ndarray) -> np.ndarray:
+    """Set bits in every ``_STEP`` bytes, counted eight bytes at a time."""
+    blocks = -(-len(packed) // _STEP)
+    padded = np.zeros(blocks * _STEP, np.uint8)
+    padded[:len(packed)] = packed
+    return np.bitwise_count(padded.view(np.uint64)).reshape(blocks, _STEP // 8).sum(axis=1, dtype=np.uint32)
+
+
 def pack(ids: np.ndarray, documents: np.ndarray) -> bytes:
     """The file of a shard.  ``documents``: int64 rows (doc_id, 1 if the id is null, tokens)."""
     planes = max(1, int(ids.max()).bit_length()) if len(ids) else 1
@@ -130,13 +156,16 @@ def pack(ids: np.ndarray, documents: np.ndarray) -> bytes:
     for k in range(planes):
         ones = (current & ids.dtype.type(1 << (planes - 1 - k))) != 0
         packed = np.packbits(ones)
-        counts = np.add.reduceat(_POPCOUNT[packed].astype(np.uint32), np.arange(0, len(packed), _STEP)) \
-            if len(packed) else np.zeros(0, np.uint32)
+        counts = _ones(packed)
         directory = np.concatenate([[0], np.cumsum(counts)]).astype("<u4")
         blocks.append(zstandard.compress(directory.tobytes() + packed.tobytes(), 1))
-        low, high = current[~ones], current[ones]
-        zeros.append(len(low))
-        current = np.concatenate([low, high])
+        low = len(ones) - int(counts.sum())
+        zeros.append(low)
+        if k < planes - 1:
+            following = np.empty_like(current)
+            np.compress(~ones, current, out=following[:low])
+            np.compress(ones, current, out=following[low:])
+            current = following
     head = zstandard.compress(documents.astype("<i8").tobytes(), 1)
     header = json.dumps({"n": len(ids), "documents": len(documents), "zeros": zeros,
                          "blocks": [len(b) for b in blocks], "table": len(head)}).encode()
@@ -248,8 +277,10 @@ def _shards(batches: Iterator[pa.RecordBatch], path: str, end_id: int, shard_tok
              pa.array([file], pa.binary())], ["part", "seq", "tokens", "file"])
 
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids = encode(text or "")
+        flat, counts = encode.batch(batch.column(1))
+        ends = np.cumsum(counts)
+        for doc, start, stop in zip(batch.column(0).to_pylist(), ends - counts, ends):
+            ids = flat[start:stop]
             pieces += [ids, end]
             documents.append((doc or 0, doc is None, len(ids) + 1))
             held += len(ids) + 1
