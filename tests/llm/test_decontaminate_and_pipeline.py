@@ -7,6 +7,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from pyspark.sql import functions as F
+
 from nimbusgrid.llm import decontaminate, jaccard, language, tokens
 
 SF = "/root/testdata/sf0.001"
@@ -139,3 +141,18 @@ def test_pipeline_on_odd_documents(spark, tmp_path):
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
     assert tokens.END_ID == 1
+
+
+def test_pipeline_stages_carry_clashing_columns_and_choose_by_digest(spark):
+    text = "the quick brown fox of the wood and river number {} was that it for on"
+    rows = [(i, text.format(i), "en", "b", 60) for i in range(12)] + [(3, "of the wood and that it was " * 3 + "again", "en", "b", 7)]
+    names = ("_body", "matches", "_lang", "_score", "_later", "_again", "_gone", "row", "id", "rep", "copies", "u", "Extra one")
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs = plain.withColumns({c: F.concat(F.lit(f"{c} "), "text") for c in names})
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        got = stage(spark, docs.repartition(3), SF).collect()
+        want = stage(spark, plain.repartition(2), SF).collect()
+        assert sorted((r.doc_id, r.text) for r in got) == sorted((r.doc_id, r.text) for r in want) and got, name
+        assert all(r[c] == f"{c} {r.text}" for r in got for c in names), name
+    ids = [r.doc_id for r in corpus_pipeline.near_duplicate_stage(spark, docs, SF).collect()]
+    assert len(ids) == len(set(ids))
