@@ -254,6 +254,6 @@ def publish(panel: DataFrame, folder: str, *, val_start: str = k.VAL_START_DATE,
         "onestep": lambda: write(onestep_forecast(panel, models(), year, **keys), "onestep"),
         "recursive": lambda: write(recursive_forecast(panel, models(), test_start, horizon, folder=f"{folder}/models", **keys), "recursive"),
     }
-    for step in steps or makers:
+    for step in makers if steps is None else steps:
         if step in ("features", "models") or not there(step):
             makers[step]()
