@@ -21,12 +21,16 @@ def station_folder(code: Column, name: Column) -> Column:
 
 def request_windows(stations: DataFrame, start: str = k.START_DATE, end: str = k.END_DATE,
                     months: int = k.REQUEST_MONTHS) -> DataFrame:
-    """Every station's download windows: ``months`` long from ``start``, clamped to ``end``."""
-    if int(start[8:10]) > 28:
-        raise ValueError("windows step by month: start on a day every month has")
+    """Every station's download windows: ``months`` long from ``start``, clamped to ``end``.
+
+    A window opens ``months`` after the one before it opened, so the end of a short month, once
+    reached, sets the day of all that follow (31 August, 28 February, 28 August).
+    """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    step = F.make_interval(months=F.lit(months))
-    opened = stations.withColumn("window_start", F.explode(F.sequence(first, last, step)))
+    steps = F.greatest(F.ceil(F.months_between(last, first) / months).cast("int") + 1, F.lit(1))
+    starts = F.aggregate(F.sequence(F.lit(1), steps), F.array(first), lambda opened, _: F.concat(
+        opened, F.array(F.add_months(F.element_at(opened, -1), months))))
+    opened = stations.withColumn("window_start", F.explode(starts))
     return opened.filter(F.col("window_start") < last).withColumn(
         "window_end", F.least(F.date_sub(F.add_months("window_start", months), 1), last))
 

@@ -63,8 +63,9 @@ def test_request_windows(spark):
     # a window that would open on the last day itself is not planned
     assert landing.request_windows(stations, "2009-01-01", "2009-07-01").count() == 1
     assert landing.request_windows(stations).count() == 34
-    with pytest.raises(ValueError):
-        landing.request_windows(stations, "2009-01-31", "2010-03-31")
+    assert landing.request_windows(stations, "2010-01-01", "2009-01-01").count() == 0
+    late = [tuple(r)[1:] for r in landing.request_windows(stations, "2009-08-31", "2010-09-30").orderBy("window_start").collect()]
+    assert late == [(D(2009, 8, 31), D(2010, 2, 27)), (D(2010, 2, 28), D(2010, 8, 27)), (D(2010, 8, 28), D(2010, 9, 30))]
     planned = landing.request_windows(stations, "2009-01-01", "2010-03-31")
     assert landing.gap_ledger(planned, planned.filter("window_start = '2009-07-01'")).count() == 2
 
