@@ -70,6 +70,47 @@ def test_inclusion_is_the_fraction_due(spark):
     assert abs(counts[:40].mean() / 12 - 80 * 5 / 7 / 40) < 0.05 and counts[40:].std() > 0
 
 
+def test_longer_documents_are_likelier_and_words_add_up(spark):
+    """Inclusion odds differ within a source, and the words they select add up to those due."""
+    rows = spark.createDataFrame([(i, "w " * (2 if i % 2 else 60), "a" if i < 200 else "b") for i in range(400)],
+                                 "doc_id long, text string, source string")
+    short = long = 0
+    for seed in range(6):
+        measured = mixing.measured(rows, seed=f"t{seed}")
+        for r in mixing.copies(measured, mixing.cuts(measured)).where("source = 'b'").collect():
+            short, long = short + r.copies * (r.size == 2), long + r.copies * (r.size == 60)
+    assert long > short + 20
+
+
+REPEATS = {
+    "half the ids null": [(None if i % 2 else i, f"{i} " + "w " * (i % 40), "abc"[i % 3]) for i in range(600)],
+    "one id in a source": [(7 if i % 3 == 0 else i, f"{i} " + "w " * (i % 40), "abc"[i % 3]) for i in range(600)],
+    "rows alike": [(1 if i % 3 else i, "w " * (9 if i % 3 else i % 40), "abc"[i % 3]) for i in range(600)],
+    "no id nor text": [(None, None, None)] * 50 + [(None, "x y z", None)] * 300 + [(None, "x y z", "a")] * 20,
+}
+
+
+@pytest.mark.parametrize("case", sorted(REPEATS))
+@pytest.mark.parametrize("bin_rows", [4, 4096])
+def test_repeated_ids_come_near_target_and_equal_sql(spark, monkeypatch, case, bin_rows):
+    duckdb = pytest.importorskip("duckdb")
+    monkeypatch.setattr(mixing, "BIN_ROWS", bin_rows)
+    frame = spark.createDataFrame(REPEATS[case], "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(frame).collect()
+    taken, target = {}, {}
+    for r in got:
+        taken[r.source] = taken.get(r.source, 0) + r.size * r.copies
+        target[r.source] = r.target
+        assert 0 <= r.copies <= 3
+    assert all(abs(taken[s] - target[s]) <= 41 / 2 for s in target)
+    con = duckdb.connect()
+    con.register("documents", frame.toArrow())
+    want = con.execute(mixing.ORACLE).fetchall()
+    assert sorted(map(repr, want)) == sorted(repr((r.id, r.size, r.source_size, r.target, r.size * r.copies)) for r in got)
+    documents = mixing.mixed_documents(frame).groupBy("doc_id", "text", "source").count().collect()
+    assert sum(r["count"] for r in documents) == sum(r.copies for r in got)
+
+
 def test_mixed_documents_keep_their_columns(spark):
     frame = spark.createDataFrame(documents(), "doc_id long, text string, source string, size long")
     out = mixing.mixed_documents(frame)
