@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nimbusgrid.session import staging_path
-from nimbusgrid.sources import landing, reanalysis, records, storage, subscriptions
+from nimbusgrid.sources import generations, intake, landing, reanalysis, records, storage, subscriptions
 from nimbusgrid.streaming import landing as streaming
 from nimbusgrid.workload import frames as fr
 from nimbusgrid.workload.formulas import _VALID, RAW_RECORDS, raw_records
-from nimbusgrid.workload.registry import query
+from nimbusgrid.workload.registry import ORACLES, query
 from nimbusgrid.workload.serving import _SUBSCRIPTIONS_SQL, _subscriptions
 
 #: Rows of one written document or file, about.
@@ -128,6 +128,34 @@ def landing_merge(spark: SparkSession, sf: str) -> DataFrame:
         "o_custkey", "year", "day", "o_orderkey", "o_totalprice")
 
 
+def _generations(spark: SparkSession, sf: str, compacted: Sequence[int]) -> str:
+    """Orders landed in three turns, some followed by a compaction of the pairs half renewed."""
+    root = staging_path(spark, "generations")
+    for turn in range(3):
+        generations.land(_order_batches(spark, sf).filter(F.col("o_orderkey") % 3 == turn), root, turn)
+        if turn in compacted:
+            generations.compact(spark, root, share=0.5, series="o_custkey", date="day")
+    return root
+
+
+@query(ORACLES["landing_merge"])
+def merge_on_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders landed in three turns, the first two compacted by rule, merged as they are read."""
+    found = generations.read(spark, _generations(spark, sf, (0, 1)), series="o_custkey", date="day")
+    return found.select("o_custkey", "year", "day", "o_orderkey", "o_totalprice")
+
+
+@query("""WITH d AS (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(o_orderdate AS DATE) AS day,
+  o_orderkey % 3 AS turn FROM orders),
+p AS (SELECT o_custkey, year, count(DISTINCT day) FILTER (turn = 0) AS base, count(*) FILTER (turn = 1) AS fresh,
+  count(DISTINCT day) FILTER (turn < 2) AS merged FROM d GROUP BY ALL)
+SELECT o_custkey, year, 0 AS gen, base AS rows, 0 AS upto FROM p WHERE base > 0
+UNION ALL SELECT o_custkey, year, 1, merged, 1 FROM p WHERE fresh > 0.5 * base""")
+def compacted_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """The customers and years that two compactions rewrote: all, then those half renewed."""
+    return spark.read.parquet(f"{_generations(spark, sf, (0, 1))}/pairs").select("o_custkey", "year", "gen", "rows", "upto")
+
+
 @query(f"""WITH {fr.COVERED_USERS},
 placed AS (SELECT user_id, day, floor(value * 8 + 0.0003) / 8 AS value,
   row_number() OVER (PARTITION BY user_id ORDER BY day) AS rn FROM dense)
@@ -232,6 +260,39 @@ def record_files(spark: SparkSession, sf: str) -> DataFrame:
     return records.valid_records(records.require_rows(scanned), start="1996-01-01").select(*_VALID)
 
 
+def _intake(spark: SparkSession, sf: str) -> intake.Intake:
+    """Raw records as lists in files, nations as objects beside them, taken in by one pass."""
+    path = staging_path(spark, "documents")
+    raw = raw_records(spark, sf)
+    _lists(raw, ["indicativo"], raw.columns).write.option("maxRecordsPerFile", 1).text(path)
+    objects = fr.table(spark, sf, "nation").select(F.to_json(F.struct("*")).alias("value"))
+    objects.write.mode("append").option("maxRecordsPerFile", 1).text(path)
+    return intake.take_in(spark, path, staging_path(spark, "intake"), start="1996-01-01", pattern="*.txt")
+
+
+@query(_VALID_SQL)
+def intake_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Records accepted by the pass that also writes the ledger."""
+    return _intake(spark, sf).records(spark).select(*_VALID)
+
+
+@query(f"""WITH {RAW_RECORDS},
+judged AS (SELECT CASE WHEN try_cast(fecha AS DATE) IS NULL THEN 'date' WHEN indicativo IS NULL THEN 'identity'
+  WHEN try_cast(fecha AS DATE) < DATE '1996-01-01' THEN 'before start' END AS reason FROM raw)
+SELECT 'rejected' AS outcome, reason, count(*) AS records FROM judged WHERE reason IS NOT NULL GROUP BY ALL
+UNION ALL SELECT 'skipped', 'not a list', count(*) FROM nation
+UNION ALL SELECT 'accepted', 'observed', count(*) FROM judged WHERE reason IS NULL
+UNION ALL SELECT 'rejected', 'observed', count(*) FROM judged WHERE reason IS NOT NULL
+UNION ALL SELECT 'skipped', 'observed', count(*) FROM nation""")
+def intake_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """What was rejected and skipped by reason, and the counts observed while it was written."""
+    seen = _intake(spark, sf)
+    reasons = seen.ledger(spark).groupBy("outcome", "reason").agg(F.sum("records").alias("records"))
+    observed = [F.struct(F.lit(o).alias("outcome"), F.lit("observed").alias("reason"), F.lit(n).cast("bigint").alias("records"))
+                for o, n in (("accepted", seen.accepted), ("rejected", seen.rejected), ("skipped", seen.skipped))]
+    return reasons.unionByName(spark.range(1).select(F.inline(F.array(*observed))))
+
+
 @query(f"""WITH {_SUBSCRIPTIONS_SQL} SELECT telegram_id, station_code, station_name, active, created_at, updated_at
 FROM subs""")
 def subscription_scan(spark: SparkSession, sf: str) -> DataFrame:
