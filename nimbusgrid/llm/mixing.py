@@ -134,7 +134,8 @@ def _numbered(rows: DataFrame) -> DataFrame:
     group of any size is spread over as many tasks as it came from.
     """
     keys = ["source", *KEY]
-    placed = rows.withColumns({"_piece": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    # written, as both sides below must see the same places
+    placed, _ = keep(rows.withColumns({"_piece": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}), "alike")
     own = placed.withColumn("_own", F.row_number().over(Window.partitionBy(*keys, "_piece").orderBy("_at")))
     sums = placed.groupBy(*keys, "_piece").agg(F.count("*").alias("_rows"))
     sums = sums.withColumn("_before", F.sum("_rows").over(Window.partitionBy(*keys).orderBy("_piece")) - F.col("_rows"))
