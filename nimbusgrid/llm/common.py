@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from nimbusgrid.session import staging_path
@@ -74,6 +74,41 @@ def sampled(df: DataFrame, by: Column, rows: int, total: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(by, F.lit("sample")), F.lit(1 << 20)) < int(rows / total * (1 << 20)) + 1)
 
 
+def drawn_texts(df: DataFrame, text: str, rows: int, by: str | None = None) -> DataFrame:
+    """Rows of ``df`` whose text is among the ``rows`` texts of least hash, of each value of ``by``.
+
+    A text counts once however often it is repeated, and texts are drawn alike in reruns.  Distinct
+    hashes (column ``drawn``, which :func:`once` reads) are thinned by rate to about twice as many
+    as asked before they are ranked, so the ranking is small whatever the table.
+    """
+    spark, hashed = df.sparkSession, df.withColumn("drawn", F.xxhash64(text, F.lit("sample")))
+    value = F.col(by) if by else F.lit(0)
+    texts, path = keep(hashed.select(value.alias("value"), "drawn").distinct(), "drawn")
+    counts = texts.groupBy("value").count().withColumnRenamed("value", "counted")
+    share = F.col("drawn") / float(1 << 64) + 0.5
+    thin = texts.join(counts, texts["value"].eqNullSafe(counts["counted"])).where(share <= (2 * rows + 64) / F.col("count"))
+    rank = F.row_number().over(Window.partitionBy("value").orderBy("drawn"))
+    limits = thin.withColumn("rank", rank).where(F.col("rank") <= rows).groupBy("value").agg(F.max("drawn").alias("limit")).collect()
+    discard(spark, path)
+    if not limits:
+        return hashed.where(F.lit(False))
+    upto = F.create_map(*[F.lit(v) for r in limits for v in (r["value"], r["limit"])])
+    return hashed.where(F.col("drawn") <= upto[value])
+
+
+def once(batches: Iterator[pa.RecordBatch], *columns: int) -> Iterator[pa.RecordBatch]:
+    """The rows a task sees first of each value of ``columns``, which are those drawn, so few."""
+    seen: set[tuple] = set()
+    for batch in batches:
+        fresh = []
+        for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in columns))):
+            if key not in seen:
+                seen.add(key)
+                fresh.append(i)
+        if fresh:
+            yield batch.take(pa.array(fresh))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of the undirected edges, component being the smallest node reachable.
 

@@ -5,7 +5,7 @@ family, one linear support vector machine (squared hinge) for every pair of its
 language with most pairwise wins is the prediction.  The score is the family's probability times
 the mean pairwise probability of the winner.
 
-Learned from a bounded sample of labelled rows: about ``SAMPLE_ROWS`` in all, shared evenly by the
+Learned from a bounded sample of labelled texts: at most ``SAMPLE_ROWS`` in all, shared evenly by the
 languages.  Prediction reads whole texts and nothing but the text.
 """
 
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbusgrid.llm.common import map_arrow, table
+from nimbusgrid.llm.common import drawn_texts, map_arrow, once, table
 from nimbusgrid.llm.registry import query
 
 SAMPLE_ROWS = 6000
@@ -168,27 +168,28 @@ def fit(x: np.ndarray, langs: list[str]) -> Discriminator:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]):
-    for batch in batches:
-        texts, langs = batch.column(0).to_pylist(), batch.column(1)
+    for batch in once(batches, 1, 2):
+        texts = batch.column(0).to_pylist()
         for at in range(0, len(texts), 256):
             x = features(texts[at:at + 256]).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), langs.slice(at, 256)],
-                                             ["x", "lang"])
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), batch.column(1).slice(at, 256),
+                                              batch.column(2).slice(at, 256)], ["x", "lang", "drawn"])
 
 
 def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Discriminator:
-    """Fit on ``labelled``; rows without a language or a letter teach nothing."""
+    """Fit on ``labelled``; rows without a language or a letter teach nothing.
+
+    Every language teaches by at most ``sample_rows`` over their number of distinct texts, each
+    once however often it is repeated, so no more than ``sample_rows`` reach the driver.
+    """
     rows = labelled.select(F.col(text_col).alias("body"), F.col(lang_col).alias("tongue")).where(
         F.col("tongue").isNotNull() & F.col("body").rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-              .groupBy(lang_col).count().collect()}
-    if not counts:
+    tongues = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(lang_col).distinct().count()
+    if not tongues:
         return fit(np.zeros((0, BUCKETS), np.float32), [])
-    each = max(1, sample_rows // len(counts))
-    rates = F.create_map(*[F.lit(v) for code, n in counts.items() for v in (code, min(1.0, each / n))])
-    drawn = F.pmod(F.xxhash64("body", F.lit("lang")), F.lit(1 << 20)) / float(1 << 20)
-    got = map_arrow(rows.where(drawn <= rates[F.col("tongue")]).select("body", "tongue"), _rows,
-                    "x binary, lang string").collect()
+    sample = drawn_texts(rows, "body", max(1, sample_rows // tongues), "tongue").select("body", "tongue", "drawn")
+    got = map_arrow(sample, _rows, "x binary, lang string, drawn long").groupBy("lang", "drawn").agg(
+        F.min("x").alias("x")).collect()
     got.sort(key=lambda r: (r.lang, bytes(r.x)))
     x = np.frombuffer(b"".join(bytes(r.x) for r in got), np.float16).reshape(len(got), BUCKETS).astype(np.float32)
     return fit(x, [r.lang for r in got])

@@ -5,7 +5,7 @@ pair of its terms the inner product of their factors, so that two terms that are
 can count together.  The pair sum is computed in one pass: half of (square of sum - sum of
 squares).
 
-Learned from a bounded sample of ``SAMPLE_ROWS`` labelled rows; the ``TERMS`` hashed terms that
+Learned from a bounded sample of ``SAMPLE_ROWS`` distinct labelled texts; the ``TERMS`` hashed terms that
 tell the labels apart best (G statistic) take part.  The score reads whole texts and nothing
 else.
 """
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbusgrid.llm.common import map_arrow, sampled, table
+from nimbusgrid.llm.common import drawn_texts, map_arrow, table
 from nimbusgrid.llm.registry import query
 
 SAMPLE_ROWS = 16000
@@ -153,18 +153,30 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, *, epochs: int = 12, rate: f
 
 
 def _training(batches: Iterator[pa.RecordBatch]):
+    seen: set[tuple] = set()  # of drawn texts, so few
     for batch in batches:
-        found = [terms(t).astype("<u4").tobytes() for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1).cast(pa.int32())], ["terms", "label"])
+        found = []
+        for text, *key in zip(*(column.to_pylist() for column in batch.columns)):
+            found.append(None if tuple(key) in seen else terms(text).astype("<u4").tobytes())
+            seen.add(tuple(key))
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), batch.column(1).cast(pa.int32()), batch.column(2)],
+                                         ["terms", "label", "drawn"])
 
 
 def train(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Machine:
-    """Fit on a bounded sample of ``labelled``; rows without a label teach nothing, a null text is empty."""
-    rows = labelled.where(F.col(label_col).isNotNull()).select(F.col(text_col).alias("body"), F.col(label_col).cast("int").alias("label"))
-    sample = sampled(rows, F.col("body"), sample_rows, rows.count())
-    got = map_arrow(sample, _training, "terms binary, label int").collect()
-    got.sort(key=lambda r: (r.label, bytes(r.terms)))
-    return fit([np.frombuffer(bytes(r.terms), "<u4").astype(np.int64) for r in got], np.array([r.label for r in got]))
+    """Fit on ``labelled``; rows without a label teach nothing, a null text is empty.
+
+    At most ``sample_rows`` distinct texts teach, once with each of their labels.  One repeated
+    ``n`` times weighs as many rows as ``n`` has binary digits, so copies count without dominating.
+    """
+    rows = labelled.where(F.col(label_col).isNotNull()).select(
+        F.coalesce(F.col(text_col), F.lit("")).alias("body"), F.col(label_col).cast("int").alias("label"))
+    sample = drawn_texts(rows, "body", sample_rows).select("body", "label", "drawn")
+    got = map_arrow(sample, _training, "terms binary, label int, drawn long").groupBy("label", "drawn").agg(
+        F.min("terms").alias("terms"), F.count("*").alias("copies")).collect()
+    got.sort(key=lambda r: (r.label, bytes(r.terms), r.drawn))
+    weighed = [r for r in got for _ in range(r.copies.bit_length())]
+    return fit([np.frombuffer(bytes(r.terms), "<u4").astype(np.int64) for r in weighed], np.array([r.label for r in weighed]))
 
 
 def predict(docs: DataFrame, machine: Machine, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

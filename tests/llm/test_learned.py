@@ -4,8 +4,10 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from nimbusgrid.llm import language, neighbours, toxicity
+from nimbusgrid.llm.common import drawn_texts
 from nimbusgrid.llm.registry import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -80,6 +82,37 @@ def test_toxicity_held_out(spark):
     assert sum(r.predicted for r in clean) / len(clean) < 0.01
 
 
+def _labelled(spark):
+    """A third of the rows repeats one text, and another text has both labels."""
+    rows = [(f"text number {i}", "en" if i % 2 else "de", i % 2) for i in range(400)]
+    rows += [("one text again", "en", 1)] * 200 + [("both ways", "en", 0), ("both ways", "de", 1)] * 20
+    return spark.createDataFrame(rows, "text string, lang string, toxic int").repartition(6)
+
+
+@pytest.mark.parametrize("rows", [2, 40, 5000])
+def test_samples_are_bounded_and_copies_teach_once(spark, monkeypatch, rows):
+    frame, got = _labelled(spark), {}
+    monkeypatch.setattr(language, "fit", lambda x, langs: got.update(x=x, langs=langs))
+    language.train(frame, sample_rows=rows)
+    assert len(got["langs"]) == len(got["x"]) == min(rows, 403) and abs(got["langs"].count("en") - got["langs"].count("de")) <= 1
+    monkeypatch.setattr(toxicity, "fit", lambda terms, labels: got.update(terms=terms, labels=labels))
+    toxicity.train(frame, sample_rows=rows)
+    first = [t.tolist() for t in got["terms"]]
+    assert min(rows, 402) <= len({(str(t), y) for t, y in zip(first, got["labels"])}) <= min(rows, 402) + 1
+    assert rows < 403 or sorted(first.count(t) for t in map(list, {tuple(t) for t in first}))[-2:] == [8, 10]  # 200 copies; 20 of each label
+    toxicity.train(frame.repartition(3), sample_rows=rows)
+    assert [t.tolist() for t in got["terms"]] == first
+
+
+def test_drawn_texts_are_those_of_least_hash(spark):
+    frame = _labelled(spark)
+    want = sorted(r[0] for r in frame.select(F.xxhash64("text", F.lit("sample"))).distinct().collect())[:50]
+    got = {r.drawn for r in drawn_texts(frame, "text", 50).collect()}
+    assert sorted(got) == want
+    assert drawn_texts(frame.limit(0), "text", 50).count() == 0
+    assert drawn_texts(frame, "text", 50).where("text = 'one text again'").count() in (0, 200)
+
+
 def test_toxicity_rows(spark):
     rows = [(i, "you stupid idiot" if i % 2 else "a kind word", i % 2) for i in range(80)]
     machine = toxicity.train(spark.createDataFrame([*rows, (1, None, 0), (2, "x", None)], "doc_id long, text string, toxic int"))
