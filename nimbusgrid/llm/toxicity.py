@@ -95,10 +95,12 @@ class Machine:
 
 def _select(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Buckets by G statistic of presence against label, the ``TERMS`` best."""
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    owner = np.repeat(y, [len(r) for r in rows])
-    both = np.bincount(flat, minlength=BUCKETS).astype(float)
-    hit = np.bincount(flat, weights=owner, minlength=BUCKETS)
+    both, hit = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for at in range(0, len(rows), 512):  # in slices, as a sample may hold many millions of terms
+        some = rows[at:at + 512]
+        flat = np.concatenate(some)
+        both += np.bincount(flat, minlength=BUCKETS)
+        hit += np.bincount(flat, weights=np.repeat(y[at:at + 512], [len(r) for r in some]), minlength=BUCKETS)
     n, pos = max(len(y), 1), max(y.sum(), 0.5)
 
     def part(seen, expected):
@@ -174,9 +176,13 @@ def train(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxi
     sample = drawn_texts(rows, "body", sample_rows).select("body", "label", "drawn")
     got = map_arrow(sample, _training, "terms binary, label int, drawn long").groupBy("label", "drawn").agg(
         F.min("terms").alias("terms"), F.count("*").alias("copies")).collect()
-    got.sort(key=lambda r: (r.label, bytes(r.terms), r.drawn))
-    weighed = [r for r in got for _ in range(r.copies.bit_length())]
-    return fit([np.frombuffer(bytes(r.terms), "<u4").astype(np.int64) for r in weighed], np.array([r.label for r in weighed]))
+    got.sort(key=lambda r: (r.label, r.drawn))
+    rows, labels = [], []
+    for r in got:
+        weight = r.copies.bit_length()
+        rows += [np.frombuffer(r.terms, "<i4")] * weight  # not copied
+        labels += [r.label] * weight
+    return fit(rows, np.array(labels))
 
 
 def predict(docs: DataFrame, machine: Machine, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
