@@ -74,14 +74,19 @@ def sampled(df: DataFrame, by: Column, rows: int, total: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(by, F.lit("sample")), F.lit(1 << 20)) < int(rows / total * (1 << 20)) + 1)
 
 
-def drawn_texts(df: DataFrame, text: str, rows: int, by: str | None = None) -> DataFrame:
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(text, F.lit("sample"))
+
+
+def drawn_texts(df: DataFrame, text: str, rows: int, by: str | None = None, hashed_as: str | None = None) -> DataFrame:
     """Rows of ``df`` whose text is among the ``rows`` texts of least hash, of each value of ``by``.
 
     A text counts once however often it is repeated, and texts are drawn alike in reruns.  Distinct
     hashes (column ``drawn``, which :func:`once` reads) are thinned by rate to about twice as many
-    as asked before they are ranked, so the ranking is small whatever the table.
+    as asked before they are ranked, so the ranking is small whatever the table.  ``hashed_as``
+    names a column of :func:`text_hash` that was formed before a join, so no text is shuffled for it.
     """
-    spark, hashed = df.sparkSession, df.withColumn("drawn", F.xxhash64(text, F.lit("sample")))
+    spark, hashed = df.sparkSession, df.withColumn("drawn", F.col(hashed_as) if hashed_as else text_hash(F.col(text)))
     value = F.col(by) if by else F.lit(0)
     texts, path = keep(hashed.select(value.alias("value"), "drawn").distinct(), "drawn")
     counts = texts.groupBy("value").count().withColumnRenamed("value", "counted")

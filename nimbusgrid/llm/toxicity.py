@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nimbusgrid.llm.common import drawn_texts, map_arrow, table
+from nimbusgrid.llm.common import drawn_texts, map_arrow, table, text_hash
 from nimbusgrid.llm.registry import query
 
 SAMPLE_ROWS = 16000
@@ -165,15 +165,18 @@ def _training(batches: Iterator[pa.RecordBatch]):
                                          ["terms", "label", "drawn"])
 
 
-def train(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Machine:
+def train(labelled: DataFrame, *, text_col: str = "text", label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS,
+          hashed_as: str | None = None) -> Machine:
     """Fit on ``labelled``; rows without a label teach nothing, a null text is empty.
 
     At most ``sample_rows`` distinct texts teach, once with each of their labels.  One repeated
     ``n`` times weighs as many rows as ``n`` has binary digits, so copies count without dominating.
     """
+    body = F.coalesce(F.col(text_col), F.lit(""))
     rows = labelled.where(F.col(label_col).isNotNull()).select(
-        F.coalesce(F.col(text_col), F.lit("")).alias("body"), F.col(label_col).cast("int").alias("label"))
-    sample = drawn_texts(rows, "body", sample_rows).select("body", "label", "drawn")
+        body.alias("body"), F.col(label_col).cast("int").alias("label"),
+        (F.col(hashed_as) if hashed_as else text_hash(body)).alias("hashed"))
+    sample = drawn_texts(rows, "body", sample_rows, hashed_as="hashed").select("body", "label", "drawn")
     got = map_arrow(sample, _training, "terms binary, label int, drawn long").groupBy("label", "drawn").agg(
         F.min("terms").alias("terms"), F.count("*").alias("copies")).collect()
     got.sort(key=lambda r: (r.label, r.drawn))
@@ -212,6 +215,7 @@ def op8_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents", "doc_id", "text")
     labels = (table(spark, sf, "labels", "doc_id", "toxic").where("toxic is not null and doc_id is not null")
               .where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    machine = train(docs.join(labels, "doc_id"))
+    hashed = docs.withColumn("_hashed", text_hash(F.coalesce("text", F.lit(""))))
+    machine = train(hashed.join(labels, "doc_id"), hashed_as="_hashed")
     return predict(docs, machine).select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
