@@ -83,13 +83,15 @@ def gaps(index: DataFrame, planned: DataFrame, *, first: str = "window_start", l
          series: str = SERIES) -> DataFrame:
     """The planned windows on none of whose days a series was observed.
 
-    A window meets the index at its words, a few each, so neither records nor days are listed.
+    A window meets the words of its series, one row each, so neither records nor days are listed.  Spark takes
+    exploded windows for as small as the table of series they come from: the join is told not to broadcast.
     """
-    ends = planned.select(series, first, last).distinct().withColumns({"_first": _number(F.col(first)), "_last": _number(F.col(last))})
-    words = ends.withColumn("word", F.explode(F.sequence(F.shiftright("_first", 6), F.shiftright("_last", 6))))
-    landed = words.join(index, [series, "word"]).filter(
-        F.col("bits").bitwiseAND(_within(F.col("word"), F.col("_first"), F.col("_last"))) != 0)
-    return planned.join(landed.select(series, first, last).distinct(), [series, first, last], "left_anti")
+    start, stop = F.col("_first"), F.col("_last")
+    held = index.groupBy(F.col(series).alias("_series")).agg(F.collect_list(F.struct("word", "bits")).alias("_words"))
+    ends = planned.withColumns({"_first": _number(F.col(first)), "_last": _number(F.col(last))})
+    met = ends.join(held.hint("merge"), F.col(series) == F.col("_series"), "left")
+    seen = F.exists("_words", lambda w: w["bits"].bitwiseAND(_within(w["word"], start, stop)) != 0)
+    return met.filter(~F.coalesce(seen, F.lit(False))).select(*planned.columns)
 
 
 def missing_days(index: DataFrame, start, end, *, series: str = SERIES, date: str = DATE) -> DataFrame:

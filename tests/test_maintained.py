@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nimbusgrid.operators import panel, quantiles, ranking
-from nimbusgrid.sources import climatology, dayindex
+from nimbusgrid.sources import climatology, dayindex, landing
 
 START, END = dt.date(2019, 12, 20), dt.date(2021, 3, 10)
 KEYS = {"series": "s", "date": "day"}
@@ -63,6 +63,16 @@ def test_gaps_and_missing_days(spark, index):
     assert sorted(map(tuple, empty.collect())) == sorted((s, d) for s in "ABCD" for d in days if (s, d) not in seen)
 
 
+def test_exploded_windows_are_not_broadcast(spark, index, tmp_path):
+    path, _ = index
+    spark.createDataFrame([(s,) for s in "ABCDE"] + [(None,), ("A",)], "s string").write.parquet(f"{tmp_path}/series")
+    planned = landing.request_windows(spark.read.parquet(f"{tmp_path}/series"), str(START), str(END), 1)
+    got = dayindex.gaps(dayindex.read_index(spark, path, series="s"), planned, series="s")
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    unknown = [r for r in got.collect() if r.s in (None, "E")]
+    assert len(unknown) == planned.where("s is null or s = 'E'").count() > 0
+
+
 def test_plans_read_the_index_only(spark, index, tmp_path):
     path, _ = index
     for df in (dayindex.coverage(dayindex.read_index(spark, path, series="s"), START, END, series="s"),
