@@ -113,6 +113,24 @@ def test_network_finds_secrets_like_the_labelled_ones(spark, texts):
     assert secrets.find_secrets(empty, secrets.train(empty)).count() == 0
 
 
+def test_network_learns_from_all_candidates(spark, texts):
+    rng = np.random.default_rng(8)
+    runs = ["".join(rng.choice(list("0123456789abcdef" if i % 2 else "ghijklmnopqrstuvwxyz"), 30)) for i in range(14000)]
+    docs = spark.createDataFrame([(" ".join(runs[i:i + 10]),) for i in range(0, len(runs), 10)] * 10 + [(t,) for t in texts], "text string")
+    network = secrets.train(docs)
+    assert network.used + network.held >= len(runs) + len(texts) and network.held > len(runs) / 4
+    assert network.recall >= secrets.RECALL and network.precision > 0.9
+    again = secrets.train(docs)
+    assert np.array_equal(again.filters, network.filters) and abs(again.threshold - network.threshold) < 1e-9
+
+
+def test_threshold_is_the_score_at_a_rank(spark):
+    scores = sorted([0.0, 1.0, 0.5, 0.5, 0.25, 1e-9] + np.random.default_rng(3).random(200).tolist())
+    frame = spark.createDataFrame([(x,) for x in scores], "score double")
+    for rank in (0, 1, 3, 100, 205):
+        assert 0 <= scores[rank] - secrets._ranked(frame, rank) < 1e-10
+
+
 def test_network_margin_is_a_convolution():
     rng = np.random.default_rng(1)
     codes = rng.integers(0, secrets._CODES, (3, secrets.WINDOW))
