@@ -80,6 +80,36 @@ class Lists:
         return owner, self.where[at], self.value[at]
 
 
+#: Tables of flags or sums by key are used while they have at most so many places per key asked; else keys are sorted.
+_PLACES = 64
+
+
+def _distinct(keys: np.ndarray, places: int) -> np.ndarray:
+    """The distinct keys, ascending."""
+    if places > _PLACES * len(keys):
+        return np.unique(keys)
+    seen = np.zeros(places, bool)
+    seen[keys] = True
+    return np.flatnonzero(seen)
+
+
+def _among(keys: np.ndarray, some: np.ndarray, places: int) -> np.ndarray:
+    """Which keys are in ``some``, which ascend."""
+    if places > _PLACES * len(keys):
+        return some[np.minimum(np.searchsorted(some, keys), len(some) - 1)] == keys
+    seen = np.zeros(places, bool)
+    seen[some] = True
+    return seen[keys]
+
+
+def _summed(keys: np.ndarray, values: np.ndarray, some: np.ndarray, places: int) -> np.ndarray:
+    """The sum of the values of each key in ``some``, which ascend."""
+    if places > _PLACES * len(keys):
+        inside = _among(keys, some, places)
+        return np.bincount(np.searchsorted(some, keys[inside]), values[inside], len(some))
+    return np.bincount(keys, values, places)[some]
+
+
 class Index:
     """Impacts of the items' terms, by block, with each item's threshold."""
 
@@ -129,25 +159,23 @@ class Index:
         some = hits[self.is_telling[numbers[hits]]]
         if not len(some):
             return
-        open_pairs = self._pairs(some, numbers)
-        window, term = np.divmod(open_pairs, len(self.terms))
+        passages = int(hits[-1]) // self.stride + 1
+        window, term = np.divmod(self._pairs(some, numbers), len(self.terms))
         owner, block, _ = self.telling.expand(term)
-        pairs = np.unique(window[owner] * self.blocks + block)
-        wanted = np.unique(pairs // self.blocks)
-        every = self._pairs(hits, numbers)
-        window, term = np.divmod(every, len(self.terms))
-        inside = np.isin(window, wanted)
+        pairs = _distinct(window[owner] * self.blocks + block, passages * self.blocks)
+        window, term = np.divmod(self._pairs(hits, numbers), len(self.terms))
+        inside = _among(window, pairs // self.blocks, passages)
         window, term = window[inside], term[inside]
         owner, block, value = self.top.expand(term)
-        keys, place = np.unique(window[owner] * self.blocks + block, return_inverse=True)
-        bound = np.bincount(place, value, len(keys))
-        keys = keys[bound >= self.least[keys % self.blocks] - 1e-9]
-        keys = keys[np.isin(keys, pairs, assume_unique=True)]
-        inside = np.isin(window, keys // self.blocks)
+        bound = _summed(window[owner] * self.blocks + block, value, pairs, passages * self.blocks)
+        keys = pairs[bound >= self.least[pairs % self.blocks] - 1e-9]
+        if not len(keys):
+            return
+        inside = _among(window, keys // self.blocks, passages)
         window, term = window[inside], term[inside]
         owner, item, value = self.lists.expand(term)
         passage = window[owner]
-        inside = np.isin(passage * self.blocks + item // BLOCK, keys)
+        inside = _among(passage * self.blocks + item // BLOCK, keys, passages * self.blocks)
         scored, place = np.unique(passage[inside] * len(self.ids) + item[inside], return_inverse=True)
         score = np.bincount(place, value[inside], len(scored))
         for at in np.flatnonzero(score >= self.threshold[scored % len(self.ids)] - 1e-9):
@@ -159,7 +187,7 @@ class Index:
         """Distinct (passage, term), as passage * terms + term; a word is in two passages."""
         passage = at // self.stride
         both = np.concatenate([passage, np.maximum(passage - 1, 0)])
-        return np.unique(both * len(self.terms) + np.concatenate([numbers[at], numbers[at]]))
+        return _distinct(both * len(self.terms) + np.concatenate([numbers[at], numbers[at]]), (int(passage.max()) + 1) * len(self.terms))
 
     def _overlaps(self, item: int, numbers: np.ndarray, passage: int) -> bool:
         near = numbers[max(0, (passage - 1) * self.stride):(passage + 3) * self.stride].tolist()

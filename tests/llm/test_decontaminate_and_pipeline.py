@@ -51,6 +51,19 @@ def sample(seed):
     return items, texts
 
 
+@pytest.mark.parametrize("places", [0, 3, 64])
+def test_tables_and_sorted_keys_agree(monkeypatch, places):
+    items, texts = sample(7)
+    want = [list(decontaminate.Index(items).search(t)) for t in texts]
+    monkeypatch.setattr(decontaminate, "_PLACES", places)
+    assert [list(decontaminate.Index(items).search(t)) for t in texts] == want and any(want)
+    rng = np.random.default_rng(3)
+    keys, values, some = rng.integers(0, 900, 70), rng.random(70), np.unique(rng.integers(0, 900, 40))
+    assert np.array_equal(decontaminate._distinct(keys, 900), np.unique(keys))
+    assert np.array_equal(decontaminate._among(keys, some, 900), np.isin(keys, some))
+    assert np.allclose(decontaminate._summed(keys, values, some, 900), [values[keys == k].sum() for k in some])
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_wand_loses_nothing(monkeypatch, seed):
     items, texts = sample(seed)
