@@ -16,8 +16,9 @@ equal strings.
 3. *Strings.*  Buckets with several classes are refined string by string: pointers with equal distance to
    the anchor are sorted by identifier at the string's start, then at start + GRAM, and so on; the
    bucket made by one offset is the key of the next, and pointers alone in theirs leave.  A task gets
-   whole buckets of at most ``BUCKET`` classes; the strings of larger ones are dealt out by Spark instead
-   and counted by (anchor, distance, identifiers), so no bucket is gathered.
+   whole buckets of at most ``BUCKET`` classes.  The strings of a larger one are cut into ranges of distances,
+   halved until buckets are small: those of a range hold the same bytes in the middle, which make its
+   buckets, and its stretches make classes as in 2.  In a range of one distance a bucket is one class.
 4. Removed runs are the union of repeated strings; what is kept of each text is hashed.
 
 Strings are equal if bucket and key, 128 bits, are.  Texts are taken in pieces of ``PIECE`` starts that
@@ -45,6 +46,8 @@ _GRAMS = SPAN - GRAM + 1
 PIECE = 1 << 20
 #: Classes of one bucket that a task refines in memory, some 350 bytes each.
 BUCKET = 4096
+#: Distances in the first ranges that larger ones are cut into.
+_WIDEST = 64
 #: Bucket identifiers, 8 bytes each, that are sent to every executor.
 _IDENTIFIERS = 1 << 21
 _AT = np.uint64((1 << 21) - 1)  # positions in a piece
@@ -216,16 +219,35 @@ def _refine(batches: Iterator[pa.RecordBatch]):
         yield refined(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
 
 
-def _dealt(batches: Iterator[pa.RecordBatch]):
+_PIECES = "h long, k long, d long, tag long, at long, low int, high int, body binary"
+
+
+def _halved(batches: Iterator[pa.RecordBatch], width: int):
+    """The contexts cut to ranges of ``width`` distances, with the bucket and class key of each piece.
+
+    All strings of a range hold the same 201 - ``width`` bytes around the anchor: those tell its buckets.
+    """
     for whole in batches:
-        for at in range(0, whole.num_rows, 1000):
-            batch = whole.slice(at, 1000)
-            row, distance, start = _strings(batch)
-            key = later(_grams(batch), start, np.full(len(row), SPAN), np.zeros(len(row), np.uint64))
+        for first in range(0, whole.num_rows, 1000):
+            batch = whole.slice(first, 1000)
+            grams, bodies = _grams(batch), batch.column("body").to_pylist()
+            h = batch.column("h").to_numpy().view(np.uint64)
+            low, high = (batch.column(c).to_numpy().astype(np.int64) for c in ("low", "high"))
+            size = np.array([len(x) for x in bodies])
+            base = np.cumsum(size) - size
+            parts = high // width - low // width + 1
+            row = np.repeat(np.arange(len(low)), parts)
+            part = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts) + low[row] // width
+            near, far = np.maximum(low[row], part * width), np.minimum(high[row], part * width + width - 1)
+            begin = high[row] - far  # of the piece, in its context's text
+            bucket = later(grams, base[row] + high[row] - part * width, np.full(len(row), SPAN + 1 - width),
+                           _mixed(h[row] ^ _mixed((part * 256 + width).astype(np.uint64))))
+            key = later(grams, base[row] + begin, far - near + SPAN, _mixed((near * 1024 + far + 1).astype(np.uint64)))
+            cut = [bodies[r][x:x + n] for r, x, n in zip(row.tolist(), begin.tolist(), (far - near + SPAN).tolist())]
             of = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("h").take(of), pa.array(distance.astype(np.int32)), pa.array(key.view(np.int64)), batch.column("d").take(of),
-                 batch.column("tag").take(of), pa.array(batch.column("at").to_numpy()[row] - distance)], ["h", "distance", "key", "d", "tag", "start"])
+                [pa.array(bucket.view(np.int64)), pa.array(key.view(np.int64)), *(batch.column(c).take(of) for c in ("d", "tag", "at")),
+                 pa.array(near.astype(np.int32)), pa.array(far.astype(np.int32)), pa.array(cut, pa.binary())], [f.split()[0] for f in _PIECES.split(", ")])
 
 
 def _merged(batches: Iterator[pa.RecordBatch]):
@@ -281,24 +303,37 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     pointers, _ = keep(scanned.join(F.broadcast(buckets) if few else buckets, "h", "left_semi"), "pointers")
     classes, _ = keep(pointers.groupBy("h", "k").agg(
         F.count("*").alias("n"), F.min(F.struct("d", "tag", "at", "low", "high")).alias("p")), "classes")
-    settled = pointers.join(classes.where("n > 1").select("h", "k").hint("merge"), ["h", "k"], "left_semi").select(
-        "d", "tag", (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + SPAN).alias("stop"))
+    settled = _stretches(pointers, classes)
 
     shared = classes.groupBy("h").agg(F.count("*").alias("classes")).where("classes > 1")
     open_, _ = keep(classes.join(shared, "h").select("h", "classes", "p.*"), "open")
     asked = open_.groupBy("d", "tag").agg(F.collect_list(F.struct("h", "classes", "at", "low", "high")).alias("asked"))
     contexts, _ = keep(map_arrow(_joined(texts, asked, open_.count()), _contexts, _CONTEXTS), "contexts")
-    ordered = contexts.where(F.col("classes") <= BUCKET).repartition("h").sortWithinPartitions("h")
-    spans = settled.unionByName(map_arrow(ordered, _refine, _SPANS))
+    spans, width = settled.unionByName(_in_memory(contexts)), _WIDEST
     large = contexts.where(F.col("classes") > BUCKET)
-    if large.take(1):
-        strings = map_arrow(large, _dealt, "h long, distance int, key long, d long, tag long, start long")
-        twice = strings.groupBy("h", "distance", "key").count().where("count > 1").drop("count")
-        spans = spans.unionByName(strings.join(twice, ["h", "distance", "key"], "left_semi").select(
-            "d", "tag", "start", (F.col("start") + SPAN).alias("stop")))
+    while width and large.take(1):
+        pieces, _ = keep(map_arrow(large.drop("classes"), lambda b, w=width: _halved(b, w), _PIECES), "pieces")
+        classes, _ = keep(pieces.groupBy("h", "k").agg(
+            F.count("*").alias("n"), F.min(F.struct("d", "tag", "at", "low", "high", "body")).alias("p")), "classes")
+        shared = classes.groupBy("h").agg(F.count("*").alias("classes")).where("classes > 1")
+        open_, _ = keep(classes.join(shared, "h").select("h", "classes", "p.*"), "open")
+        spans = spans.unionByName(_stretches(pieces, classes)).unionByName(_in_memory(open_))
+        large, width = open_.where(F.col("classes") > BUCKET), width // 2
     return spans
 
 
+def _stretches(pointers: DataFrame, classes: DataFrame) -> DataFrame:
+    """The stretches of the pointers whose class has several."""
+    return pointers.join(classes.where("n > 1").select("h", "k").hint("merge"), ["h", "k"], "left_semi").select(
+        "d", "tag", (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + SPAN).alias("stop"))
+
+
+def _in_memory(contexts: DataFrame) -> DataFrame:
+    """The repeated strings of buckets that a task takes whole."""
+    ordered = contexts.where(F.col("classes") <= BUCKET).repartition("h").sortWithinPartitions("h")
+    return map_arrow(ordered, _refine, _SPANS)
+
+
 def removed_runs(spans: DataFrame) -> DataFrame:
     """(d, tag, runs): the maximal runs of every document that has any."""
     return map_arrow(spans.groupBy("d", "tag").agg(F.collect_list(F.struct("start", "stop")).alias("asked")), _merged,

@@ -113,3 +113,22 @@ def test_spans_of_large_and_small_buckets_agree(spark, monkeypatch):
     rows = [(i, prose(rng, 30) + f" {i} " + passage + f" {i} " + prose(rng, 30)) for i in range(80)]
     monkeypatch.setattr(repeats, "BUCKET", 16)
     assert run(spark, rows) == brute(rows)
+
+
+def test_large_buckets_are_halved_and_not_dealt_out_by_string(spark, monkeypatch):
+    """Classes of a large bucket make a few rows each, not one for every string."""
+    rng = random.Random(13)
+    passage = prose(rng, 60)
+    rows = [(i, prose(rng, 30) + f" {i} " + passage + f" {i} " + prose(rng, 30)) for i in range(120)]
+    made, kept = {}, repeats.keep
+
+    def counted(df, label):
+        out = kept(df, label)
+        made.setdefault(label, []).append(out[0].count())
+        return out
+
+    monkeypatch.setattr(repeats, "BUCKET", 16)
+    monkeypatch.setattr(repeats, "keep", counted)
+    assert run(spark, rows) == brute(rows)
+    contexts = made["contexts"][0]
+    assert made["pieces"][0] <= 4 * contexts and all(n <= 3 * contexts for n in made["pieces"]) and made["pieces"][-1] < contexts
