@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from nimbusgrid.llm import jaccard, lines
@@ -80,6 +81,29 @@ def test_jaccard_join_edges(spark):
     assert jaccard.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def longs(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "token long")
+
+
+def test_first_shingles_are_told_by_flags_and_not_shuffled(spark):
+    tokens = [5, 7, -1, 1 << 40, (1 << 62) + 9, -(1 << 50) - 3]
+    asked = np.array(tokens + [6, 8, 1000], np.int64)
+    assert jaccard._flagged(jaccard._flags(longs(spark, tokens)), asked).tolist() == [True] * 6 + [False] * 3
+    reps = spark.createDataFrame([(1, 4, [1, 2, 3, 4], True)], "rep long, n long, low array<long>, whole boolean")
+    parts = jaccard._ordered(reps, jaccard._flags(longs(spark, [2])), 90, jaccard._flags(longs(spark, [1, 2, 3])))
+    assert "Exchange" not in parts._jdf.queryExecution().toString()
+    r = parts.first()
+    assert (r.rare, r.late, r.mixed, r.lead, r.own, r.rares, r.enough) == ([1, 3], [2], True, [1, 2, 3], 0.75, 3, True)
+
+
+def test_pairs_that_cannot_share_enough_are_not_checked(spark):
+    a, b, c = list(range(40)), [*range(8), *range(50, 82)], [*range(39), 90]
+    parts = spark.createDataFrame([(i, 40, x[:12], [], x[:30], False) for i, x in enumerate((a, b, c), 1)],
+                                  "rep long, n long, rare array<long>, late array<long>, low array<long>, whole boolean")
+    pairs = spark.createDataFrame([(2, 1), (3, 1), (3, 2)], "a long, b long")
+    assert [tuple(r) for r in jaccard._promising(pairs, parts, 90).collect()] == [(3, 1)]
+
+
 def brute_lines(rows, percent=80):
     seen, out = [], set()
     for d, text in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
