@@ -37,7 +37,7 @@ MAGIC = b"WVM1"
 END_ID = 1
 SHARD_TOKENS = 1 << 20
 _STEP = 64  # bytes between two entries of a rank directory
-_CACHE_WORDS = 800_000
+_CACHE_WORDS = 400_000
 _GATHER = 1 << 18  # words whose ids are gathered at once
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint16)
 _STATE: dict = {}
@@ -308,9 +308,10 @@ def write_shards(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", tex
 
 
 def _documents(batches: Iterator[pa.RecordBatch]):
+    _STATE.clear()  # a worker that wrote shards before needs no words for reading them
     for batch in batches:
-        for part, seq, file in zip(*(batch.column(c).to_pylist() for c in ("part", "seq", "file"))):
-            matrix = WaveletMatrix(file)
+        for part, seq, file in zip(batch.column("part").to_pylist(), batch.column("seq").to_pylist(), batch.column("file")):
+            matrix = WaveletMatrix(file.as_py())
             ids = matrix.ids().astype("<u4")
             doc, null, n = matrix.documents.T
             ends = np.cumsum(n)

@@ -191,3 +191,8 @@ def test_token_query_against_the_library(spark):
         start += len(ids)
     got = tokens.op6_token_output(spark, sf).select("doc_id", "start", "n_tokens", "ids_crc32").orderBy(F.col("doc_id"))
     assert [tuple(r) for r in got.collect()] == want
+
+
+def test_reading_shards_lets_go_of_the_words_that_writing_kept(monkeypatch):
+    monkeypatch.setattr(tokens, "_STATE", {"tokenizer": object()})
+    assert list(tokens._documents(iter([]))) == [] and not tokens._STATE
