@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nimbusgrid.llm.common import keep, map_arrow, table
+from nimbusgrid.llm.common import WORKER_STATES, keep, map_arrow, table
 from nimbusgrid.llm.registry import query
 
 MAGIC = b"WVM1"
@@ -40,7 +40,7 @@ _STEP = 64  # bytes between two entries of a rank directory
 _CACHE_WORDS = 400_000
 _GATHER = 1 << 18  # words whose ids are gathered at once
 _POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint16)
-_STATE: dict = {}
+_STATE: dict = WORKER_STATES.setdefault("tokens", {})
 
 
 #: Words the short way covers: lower-case letters up to U+00FF, digits and ASCII marks.
@@ -304,7 +304,7 @@ def write_shards(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", tex
     ordered = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("body"))
                .repartitionByRange(parts, F.col("id").asc_nulls_first())
                .sortWithinPartitions(F.col("id").asc_nulls_first()))
-    return map_arrow(ordered, lambda b: _shards(b, tokenizer, end_id, shard_tokens), _FILES)
+    return map_arrow(ordered, lambda b: _shards(b, tokenizer, end_id, shard_tokens), _FILES, state="tokens")
 
 
 def _documents(batches: Iterator[pa.RecordBatch]):

@@ -4,10 +4,11 @@ import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from nimbusgrid.llm import mixing, tokens
+from nimbusgrid.llm import common, mixing, tokens
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -196,3 +197,23 @@ def test_token_query_against_the_library(spark):
 def test_reading_shards_lets_go_of_the_words_that_writing_kept(monkeypatch):
     monkeypatch.setattr(tokens, "_STATE", {"tokenizer": object()})
     assert list(tokens._documents(iter([]))) == [] and not tokens._STATE
+
+
+def test_a_worker_drops_what_other_operators_left_there(spark, monkeypatch):
+    left = {"tokens": {"encoder": object()}, "other": {"words": object()}}
+    monkeypatch.setattr(common, "WORKER_STATES", left)
+    assert list(common._lean(lambda batches: batches, iter([1, 2]), "tokens")) == [1, 2]
+    assert left["tokens"] and not left["other"]
+    assert list(common._lean(lambda batches: batches, iter([]), None)) == [] and not left["tokens"]
+
+
+def test_a_task_of_another_operator_finds_no_encoder_in_its_worker(spark):
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(40)], "doc_id long, text string").repartition(8)
+
+    def left(batches):
+        rows = sum(batch.num_rows for batch in batches)
+        yield pa.RecordBatch.from_arrays([pa.array([rows]), pa.array([len(tokens._STATE)])], ["rows", "left"])
+
+    tokens.write_shards(docs, PATH).collect()
+    again = common.map_arrow(docs, left, "rows long, left long").collect()
+    assert sum(r.rows for r in again) == 40 and not any(r.left for r in again)
