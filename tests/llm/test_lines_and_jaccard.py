@@ -151,3 +151,26 @@ def test_near_lines_of_both_texts_of_a_repeated_id(spark):
     rows = [(1, " ".join(a)), (1, " ".join(b)), (2, " ".join(a[:-1] + ["x"])), (3, " ".join(b[:-1] + ["y"]))]
     got = lines.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {tuple(r) for r in got} == {(2, 0, False), (3, 0, False)}
+
+
+def test_words_of_a_line_are_hashed_once(spark):
+    docs = spark.createDataFrame([(1, "a b c\n \t\nd")], "doc_id long, text string")
+    sets = lines.line_sets(docs, "doc_id", "text", lines.bands(docs, "text"), 80)
+    assert sorted((r.l, r.n) for r in sets.collect()) == [(0, 3), (2, 1)]
+    assert sets._jdf.queryExecution().optimizedPlan().toString().count("array_distinct(") == 1
+
+
+def test_small_families_are_settled_before_the_join(spark, monkeypatch):
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(words[:39] + [f"x{i}"])) for i in range(6)]
+    left, written = {}, lines.keep
+
+    def keep(df, label):
+        out, path = written(df, label)
+        left.setdefault(label, []).append(out.count())
+        return out, path
+
+    monkeypatch.setattr(lines, "keep", keep)
+    got = lines.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == {(i, 0, False) for i in range(1, 6)}
+    assert left["pairs"] == [5, 0]  # every later line with the first, then none is left to meet the others
