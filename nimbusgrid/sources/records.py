@@ -17,7 +17,7 @@ def scan_record_files(spark: SparkSession, path: str, pattern: str = "*.json") -
     """Records of every ``pattern`` document below ``path`` that is a list, as text columns.
 
     Partial batches (``part_*``), documents of another shape and unreadable files are skipped.
-    A document holds one (station, year), so a whole file is a small row.
+    A document holds a batch of records, so a whole file is a row of a few MB at most.
     """
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True,
                             pathGlobFilter=pattern)

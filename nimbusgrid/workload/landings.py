@@ -24,16 +24,18 @@ def _pieces(rows: int) -> int:
 
 
 def _lists(rows: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """(value): the rows of each key as JSON lists, several where a key has more than ``FILE_ROWS``."""
-    large = rows.groupBy(*keys).count().where(F.col("count") > FILE_ROWS).select(
-        *[F.col(c).alias(f"_{c}") for c in keys], F.ceil(F.col("count") / FILE_ROWS).alias("_pieces"))
-    same = F.lit(True)
-    for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    # at most one large key for every FILE_ROWS rows
-    dealt = rows.join(F.broadcast(large), same, "left").withColumn(
+    """(value): JSON lists of about ``FILE_ROWS`` rows, so there are as many as the rows ask for, however many keys.
+
+    The rows of a key stay together unless what is dealt to its list is more than ``FILE_ROWS``.
+    """
+    lists = _pieces(rows.count())
+    numbered = rows.withColumn("_list", F.pmod(F.xxhash64(*keys or [F.lit(0)]), F.lit(lists)))
+    large = numbered.groupBy("_list").count().where(F.col("count") > FILE_ROWS).select(
+        F.col("_list").alias("_large"), F.ceil(F.col("count") / FILE_ROWS).alias("_pieces"))
+    # at most one large list for every FILE_ROWS rows
+    dealt = numbered.join(F.broadcast(large), F.col("_list") == F.col("_large"), "left").withColumn(
         "_piece", F.pmod(F.xxhash64(*columns), F.coalesce("_pieces", F.lit(1))))
-    return dealt.groupBy(*keys, "_piece").agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value")).select("value")
+    return dealt.groupBy("_list", "_piece").agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value")).select("value")
 
 
 _VALID_SQL = f"""WITH {RAW_RECORDS}
@@ -252,7 +254,7 @@ def stream_compaction(spark: SparkSession, sf: str) -> DataFrame:
 def record_files(spark: SparkSession, sf: str) -> DataFrame:
     """Raw records written as one JSON list per file, scanned back and held to the contract."""
     path = staging_path(spark, "documents")
-    # A document is a station's records, or a part of many; partial batches and other shapes beside it are skipped.
+    # A document holds some stations' records, or a part of many; partial batches and other shapes beside it are skipped.
     raw = raw_records(spark, sf)
     documents = _lists(raw, ["indicativo"], raw.columns)
     documents.write.option("maxRecordsPerFile", 1).text(path)

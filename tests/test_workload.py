@@ -96,3 +96,16 @@ def test_written_files_have_bounded_rows(spark, duck, monkeypatch, name):
         held = spark.read.text(path).select(F.size(F.from_json("value", "array<map<string,string>>")).alias("count"))
     assert held.agg(F.max("count")).first()[0] <= 30  # about FILE_ROWS, dealt by hash
     same(df, duck, name)
+
+
+@pytest.mark.parametrize("rows", [100, 20_000])
+def test_files_are_as_many_as_rows_ask_for(spark, monkeypatch, rows):
+    """Not as many as there are stations: these were a file each."""
+    from nimbusgrid.workload import landings
+    monkeypatch.setattr(landings, "FILE_ROWS", rows)
+    records = spark.range(1500).selectExpr("if(id % 30 = 0, null, cast(id % 500 as string)) AS station", "cast(id as string) AS day")
+    lists = landings._lists(records, ["station"], ["station", "day"]).selectExpr(
+        "from_json(value, 'array<struct<station: string, day: string>>') AS found").cache()
+    assert lists.count() <= 2 * -(-1500 // rows)
+    back = lists.selectExpr("inline(found)")
+    assert sorted(map(str, back.collect())) == sorted(map(str, records.collect()))
