@@ -85,3 +85,23 @@ def test_outer_merge_with_repeated_keys(spark):
         folded.collect()
     with pytest.raises(Exception, match="repeats a key"):
         folded.select("key").collect()
+
+
+@pytest.mark.parametrize("most", [4, 4_000_000])
+def test_merge_cuts_keys_that_make_many_rows(spark, monkeypatch, most):
+    """The same rows as a chain of full joins, null keys included, whatever the size of a piece."""
+    monkeypatch.setattr(joins, "ROWS_A_PIECE", most, raising=False)
+    a = spark.createDataFrame([(i % 3, 7, f"a{i}") for i in range(9)] + [(None, 7, "null"), (8, None, "half")], "k int, m int, p string")
+    b = spark.createDataFrame([(i % 4, 7, "same") for i in range(16)] + [(None, 7, "null"), (9, 7, None)], "k long, m int, q string")
+    c = spark.createDataFrame([(1, 7, [1, 2]), (1, 7, None), (5, 7, [3])], "k int, m int, r array<int>")
+    want = a.join(b, ["k", "m"], "full").join(c, ["k", "m"], "full")
+    got = joins.outer_merge([a, b, c], ["k", "m"])
+    assert got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_merge_passes_rows_on_before_a_key_is_done(spark):
+    """A full join held all rows it made of a key, which repeated keys multiply."""
+    a, b = (spark.range(6).selectExpr("id % 2 AS key", f"id AS {c}") for c in "pq")
+    plan = joins.outer_merge([a, b], ["key"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join FullOuter" not in plan and "Join LeftOuter" in plan
