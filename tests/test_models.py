@@ -273,3 +273,14 @@ def test_publishing_goes_on_where_it_ended(spark, panel, tmp_path):
     forecast.publish(panel, folder, **options)
     assert before == {p: p.stat().st_mtime_ns for p in (tmp_path / "published" / "recursive").iterdir()}
     assert spark.read.parquet(f"{folder}/onestep").count() > 0 and spark.read.parquet(f"{folder}/final").count() > 0
+
+
+def test_a_fit_reads_its_rows_in_their_partitions(spark, trained, monkeypatch):
+    """Splits of a file beyond these hold no row, yet every round ran a task for each."""
+    models, frame, _ = trained
+    seen = []
+    monkeypatch.setattr(boosting, "boost", lambda rows, *_, **__: seen.append(rows))
+    monkeypatch.setattr(training, "stage", lambda df, label: df.repartition(9))
+    for partitions in (None, 2):
+        training.fit_target(frame, "tmed", training.model_features(models["tmed"]), partitions=partitions)
+    assert [rows.rdd.getNumPartitions() for rows in seen] == [1, 2]
